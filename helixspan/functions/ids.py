@@ -11,7 +11,7 @@ def strip_chr(chrom: Column) -> Column:
 
 def variant_parts(variant: Column, separator: str) -> dict[str, Column]:
     """chrom, pos, ref and alt of ids such as ``1_55_A_G``, ``chr1_55_A_G_b38`` or ``1:55:A:G``."""
-    pieces = F.split(variant, f"[{separator}]")
+    pieces = F.split(variant, separator)
     return {
         "chrom": strip_chr(F.get(pieces, F.lit(0))),
         "pos": F.get(pieces, F.lit(1)).try_cast("int"),
@@ -30,21 +30,20 @@ def drop_last_suffix(text: Column) -> Column:
 
 
 def folder_safe(text: Column) -> Column:
-    return F.translate(text, ":", "^")
+    return F.replace(text, F.lit(":"), F.lit("^"))
 
 
 def dots_to_underscores(text: Column) -> Column:
-    return F.translate(text, ".", "_")
+    return F.replace(text, F.lit("."), F.lit("_"))
 
 
 def junction_parts(junction: Column) -> dict[str, Column]:
     """Phenotype id, cluster and gene of ``chr1:15038:15796:clu_7:ENSG00000000001.5``."""
-    phenotype = folder_safe(drop_last_suffix(junction))
-    pieces = F.split(phenotype, r"\^")
+    pieces = F.split(junction, ":")
     return {
-        "phenotype_id": phenotype,
+        "phenotype_id": folder_safe(drop_last_suffix(junction)),
         "splicing_cluster": F.get(pieces, F.lit(3)),
-        "gene_id": F.get(pieces, F.lit(4)),
+        "gene_id": before_first_dot(F.get(pieces, F.lit(4))),
     }
 
 

@@ -169,15 +169,24 @@ def odds_to_effect(df: DataFrame) -> DataFrame:
     ).drop("oddsr", "oddsr_lower")
 
 
+def has_or_gets_se() -> Column:
+    """Rows whose standard error is given or can be imputed (0 <= p < 1).
+
+    Filtering on this instead of on the imputed value keeps the quantile
+    polynomials out of the pushed-down filters and out of row counts.
+    """
+    given = F.col("se").isNotNull() & ~F.isnan("se")
+    return given | (F.col("se").isNull() & (F.col("pval") >= 0) & (F.col("pval") < 1))
+
+
 def impute_se(df: DataFrame) -> DataFrame:
     """Fill a missing standard error from effect size and p-value.
 
-    The radius is a projection of its own, so the 14 uses in the polynomials
-    share one logarithm and square root; it is null for rows that need no
-    imputation.
+    The radius is a projection of its own, so its 14 uses in the polynomials share one
+    logarithm and square root; both are null for rows that need no imputation.
     """
-    wanted = F.col("se").isNull() & F.col("beta").isNotNull()
-    half = F.when(wanted, floor_p(F.col("pval")) / F.lit(2.0))
+    usable = F.col("se").isNull() & (F.col("pval") >= 0) & (F.col("pval") < 1)
+    half = F.when(usable, floor_p(F.col("pval")) / F.lit(2.0))
     staged = df.withColumn("_half_p", half).withColumn("_radius", F.sqrt(-F.log("_half_p")))
     z = _lower_quantile(F.col("_half_p"), F.col("_radius"))
     return staged.withColumn("se", F.coalesce("se", se_from_z(F.col("beta"), z))).drop(

@@ -87,18 +87,17 @@ def threshold_counts(genes: DataFrame) -> DataFrame:
     labelled = genes.withColumn(
         "dataset", ids.dataset_label(F.col("study_id"), F.col("bio_feature"))
     ).withColumn("type", ids.qtl_kind(F.col("dataset")))
+    hits = {
+        label: F.count_if(F.col(column) < F.lit(limit)) for label, column, limit in THRESHOLDS
+    }
+    rows = [
+        F.struct(F.lit(label).alias("threshold"), count.alias("count"))
+        for label, count in hits.items()
+    ]
     counts = labelled.groupBy("dataset", "type").agg(
-        *[
-            F.count_if(F.col(column) < F.lit(limit)).alias(label)
-            for label, column, limit in THRESHOLDS
-        ]
-    )
-    return counts.withColumn("gws_count", F.col(GENOME_WIDE)).unpivot(
-        ["dataset", "type", "gws_count"],
-        [label for label, _, _ in THRESHOLDS],
-        "threshold",
-        "count",
+        hits[GENOME_WIDE].alias("gws_count"), F.array(*rows).alias("_counts")
     )
+    return counts.select("dataset", "type", "gws_count", F.inline("_counts"))
 
 
 def without(counts: DataFrame, thresholds: Sequence[str] = (), datasets: Sequence[str] = ()):

@@ -56,13 +56,13 @@ def add_num_tests(df: DataFrame, keys: Sequence[str], pval: str = "pval") -> Dat
     return df.join(hand_over(counts, "num-tests"), list(keys))
 
 
-def best_junctions(
+def best_junction_table(
     df: DataFrame, scope: Sequence[str] = ("study_id", "bio_feature"), pval: str = "pval"
 ) -> DataFrame:
-    """Rows of the junction(s) with the smallest p-value in each splicing cluster and gene.
+    """Junction(s) with the smallest p-value of each splicing cluster and gene.
 
-    The cluster minimum is taken from the per-junction table, not from the rows; ties
-    are kept. Adds ``num_tests`` counted per junction.
+    The rows are aggregated once, per junction, with the number of tests; the cluster
+    minimum is taken from that table. Ties are kept.
     """
     junction = [*scope, "phenotype_id", "splicing_cluster", "gene_id"]
     cluster = [*scope, "splicing_cluster", "gene_id"]
@@ -73,12 +73,18 @@ def best_junctions(
         "junctions",
     )
     per_cluster = per_junction.groupBy(*cluster).agg(F.min("_junction_p").alias("_cluster_p"))
-    best = (
-        per_junction.join(per_cluster, cluster)
-        .where("_junction_p <= _cluster_p")
-        .drop("_junction_p", "_cluster_p")
-    )
-    return df.join(hand_over(best, "best-junctions"), junction)
+    best = per_junction.join(per_cluster, cluster).where("_junction_p <= _cluster_p")
+    return hand_over(best.select(*scope, "phenotype_id", "num_tests"), "best-junctions")
+
+
+def best_junctions(
+    df: DataFrame, scope: Sequence[str] = ("study_id", "bio_feature"), pval: str = "pval"
+) -> DataFrame:
+    """Rows of the best junctions, with the number of tests of their junction.
+
+    Cluster and gene are parts of the junction id, so the id alone selects rows.
+    """
+    return df.join(best_junction_table(df, scope, pval), [*scope, "phenotype_id"])
 
 
 def tissue_codes(df: DataFrame, codes: DataFrame, name: str = "biofeature_string") -> DataFrame:

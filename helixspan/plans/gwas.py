@@ -52,10 +52,11 @@ def standardise(
     Odds ratios become effects, missing standard errors and frequencies are filled
     in, studies that are too small and variants that are too rare are dropped.
     """
-    effects = qc.complete(stats.impute_se(stats.odds_to_effect(rows)), REQUIRED)
-    gated = qc.min_rows_gate(effects, min_rows)
+    effects = stats.odds_to_effect(rows)
+    usable = qc.complete(effects, [c for c in REQUIRED if c != "se"]).where(stats.has_or_gets_se())
+    gated = qc.min_rows_gate(usable, min_rows)
     filled = qc.complete(harmonise.fill_eaf(gated, panel), ["eaf"])
-    return _finish(filled, studies, min_mac)
+    return _finish(stats.impute_se(filled), studies, min_mac)
 
 
 def standardise_complete(

@@ -122,8 +122,12 @@ def tissue_sqtl(
         **ids.junction_parts(F.col("phenotype_id")),
         **constants,
     )
-    known = _from_panel_minor(harmonise.in_panel(parsed, panel, "b38"))
-    return _finish(qtl.best_junctions(known, SCOPE), "sqtl")
+    best = qtl.best_junction_table(
+        harmonise.in_panel(parsed, panel, "b38"), SCOPE, "pval_nominal"
+    )
+    # The selection is small, so it comes before the second join with the panel.
+    chosen = parsed.join(best, [*SCOPE, "phenotype_id"])
+    return _finish(_from_panel_minor(harmonise.in_panel(chosen, panel, "b38")), "sqtl")
 
 
 def aligned_pqtl(

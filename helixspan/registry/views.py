@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _REF = "substr('ACGT', cast(l_partkey%4 as int)+1, 1)"
 _ALT = "substr('ACGT', cast((l_partkey%4 + 1 + l_suppkey%3)%4 as int)+1, 1)"
-_CHROM = "cast(l_linenumber as varchar(20))"
+_CHROM = "cast(l_linenumber as string)"
 _POS = "cast(l_orderkey*37 + l_partkey%37 as int)"
 _PVAL = (
     "cast((l_partkey*7919 + l_suppkey*104729 + l_orderkey*31)%100003 as double)/100003e0"
 )
-_GENE = "concat('ENSG', lpad(cast(l_suppkey as varchar(40)),11,'0'))"
-_NULL = "cast(null as varchar(20))"
-_STUDY = "concat('GCST', lpad(cast(c_custkey as varchar(40)),6,'0'))"
+_GENE = "concat('ENSG', lpad(cast(l_suppkey as string),11,'0'))"
+_NULL = "cast(null as string)"
+_STUDY = "concat('GCST', lpad(cast(c_custkey as string),6,'0'))"
 
 # view -> (table, columns, optional filter, distinct)
 VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
@@ -27,7 +27,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
             "study_id": "concat('GCST', l_returnflag)",
             "phenotype_id": _NULL,
             "bio_feature": _NULL,
-            "gene_id": "concat('G', cast(l_suppkey as varchar(20)))",
+            "gene_id": "concat('G', cast(l_suppkey as string))",
             "chrom": _CHROM,
             "pos": _POS,
             "ref": _REF,
@@ -96,7 +96,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
             "ma_count": "cast(l_partkey%40 as int)",
             "maf": "cast(l_partkey%40 as double)/400e0",
             "r2": "l_tax",
-            "rsid": "concat('rs', cast(l_partkey%2 as varchar(20)))",
+            "rsid": "concat('rs', cast(l_partkey%2 as string))",
         },
         None,
         False,
@@ -104,8 +104,8 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
     "v_gene": (
         "supplier",
         {
-            "gene_id": "concat('ENSG', lpad(cast(s_suppkey as varchar(40)),11,'0'))",
-            "chr": "cast(1+s_suppkey%7 as varchar(20))",
+            "gene_id": "concat('ENSG', lpad(cast(s_suppkey as string),11,'0'))",
+            "chr": "cast(1+s_suppkey%7 as string)",
             "tss": "cast(s_suppkey*5501 as int)",
         },
         None,
@@ -116,12 +116,12 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
         {
             "study_id": "concat('Q', l_returnflag)",
             "bio_feature": "l_linestatus",
-            "phenotype_id": f"concat('chr', {_CHROM}, ':', cast({_POS}-{_POS}%5000 as varchar(20)),"
-            f" ':', cast({_POS}-{_POS}%5000+100 as varchar(20)), ':clu_',"
-            " cast(l_suppkey%20 as varchar(20)), ':ENSG',"
-            " lpad(cast(l_suppkey%20 as varchar(40)),11,'0'), '.',"
-            " cast(1+l_suppkey%3 as varchar(20)))",
-            "variant_id": f"concat('chr', {_CHROM}, '_', cast({_POS} as varchar(20)), '_', {_REF},"
+            "phenotype_id": f"concat('chr', {_CHROM}, ':', cast({_POS}-{_POS}%5000 as string),"
+            f" ':', cast({_POS}-{_POS}%5000+100 as string), ':clu_',"
+            " cast(l_suppkey%20 as string), ':ENSG',"
+            " lpad(cast(l_suppkey%20 as string),11,'0'), '.',"
+            " cast(1+l_suppkey%3 as string))",
+            "variant_id": f"concat('chr', {_CHROM}, '_', cast({_POS} as string), '_', {_REF},"
             f" '_', {_ALT}, '_b38')",
             "ma_count": "cast(l_partkey%40 as int)",
             "maf": "cast(l_partkey%40 as double)/400e0",
@@ -136,15 +136,15 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
         "customer",
         {
             "study_id": _STUDY,
-            "pmid": "cast(c_custkey%97 as varchar(20))",
+            "pmid": "cast(c_custkey%97 as string)",
             "trait": "c_name",
             "sample_info": "case when c_custkey%3=0 then concat('1,',"
-            " lpad(cast(c_custkey%1000 as varchar(40)),3,'0'), ' European ancestry cases, ',"
-            " cast(c_custkey+500 as varchar(20)), ' European ancestry controls')"
-            " when c_custkey%3=1 then concat(cast(c_custkey+100 as varchar(20)),"
+            " lpad(cast(c_custkey%1000 as string),3,'0'), ' European ancestry cases, ',"
+            " cast(c_custkey+500 as string), ' European ancestry controls')"
+            " when c_custkey%3=1 then concat(cast(c_custkey+100 as string),"
             " ' South Asian ancestry individuals')"
-            " else concat(cast(c_custkey+100 as varchar(20)),"
-            " ' Japanese ancestry individuals, ', cast(c_custkey+7 as varchar(20)),"
+            " else concat(cast(c_custkey+100 as string),"
+            " ' Japanese ancestry individuals, ', cast(c_custkey+7 as string),"
             " ' Hispanic individuals') end",
         },
         None,
@@ -182,10 +182,10 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
     "v_chain": (
         "nation",
         {
-            "chrom": "cast(1+n_nationkey%7 as varchar(20))",
+            "chrom": "cast(1+n_nationkey%7 as string)",
             "t_start": "cast(n_nationkey*20000 as int)",
             "t_end": "cast(n_nationkey*20000+15000 as int)",
-            "q_chrom": "concat('chr', cast(1+n_nationkey%7 as varchar(20)))",
+            "q_chrom": "concat('chr', cast(1+n_nationkey%7 as string))",
             "q_start": "cast(n_nationkey*20000+500 as int)",
             "q_size": "cast(2000000 as int)",
             "strand": "case when n_nationkey%2=0 then '+' else '-' end",
@@ -199,7 +199,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
         {
             "chrom_b37": _CHROM,
             "pos_b37": _POS,
-            "rsid": f"concat('rs', cast({_POS} as varchar(20)))",
+            "rsid": f"concat('rs', cast({_POS} as string))",
             "ref": _REF,
             "alts": f"concat({_ALT}, ',', 'T')",
         },
@@ -209,10 +209,10 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
     "v_publication": (
         "orders",
         {
-            "study_id": "concat('S', cast(o_orderkey as varchar(20)))",
-            "pmid": "cast(o_custkey as varchar(20))",
-            "author": "concat('Author ', cast(o_custkey%100 as varchar(20)))",
-            "association_count": "cast(o_totalprice as bigint)",
+            "study_id": "concat('S', cast(o_orderkey as string))",
+            "pmid": "cast(o_custkey as string)",
+            "author": "concat('Author ', cast(o_custkey%100 as string))",
+            "association_count": "cast(floor(o_totalprice) as bigint)",
         },
         None,
         False,
@@ -222,7 +222,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
         {
             "phenocode": "concat(case when p_partkey%3=0 then 'CD2_' else 'C3_' end,"
             " upper(p_type), case when p_partkey%2=0 then '_EXALLC' else '' end,"
-            " '_', cast(p_partkey as varchar(20)))",
+            " '_', cast(p_partkey as string))",
             "phenostring": "p_name",
             "category": "p_brand",
             "num_cases": "cast(p_size as int)",
@@ -235,9 +235,9 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
     "v_samples": (
         "lineitem",
         {
-            "variant": f"concat({_CHROM}, ':', cast({_POS} as varchar(20)))",
-            "DatasetsNrSamples": "concat(cast(l_partkey%50 as varchar(20)), ';-;',"
-            " cast(l_suppkey%20 as varchar(20)), ';', case when l_linenumber%2=0 then '-'"
+            "variant": f"concat({_CHROM}, ':', cast({_POS} as string))",
+            "DatasetsNrSamples": "concat(cast(l_partkey%50 as string), ';-;',"
+            " cast(l_suppkey%20 as string), ';', case when l_linenumber%2=0 then '-'"
             " else '7' end)",
         },
         None,
@@ -246,8 +246,8 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
     "v_linear": (
         "lineitem",
         {
-            "variant": f"concat({_CHROM}, ':', cast({_POS} as varchar(20)), ':', {_REF}, ':', {_ALT})",
-            "phenotype": "concat('p', cast(l_suppkey as varchar(20)))",
+            "variant": f"concat({_CHROM}, ':', cast({_POS} as string), ':', {_REF}, ':', {_ALT})",
+            "phenotype": "concat('p', cast(l_suppkey as string))",
             "n_complete_samples": "cast(l_partkey%900 as int)",
             "AC": "cast(l_partkey%70 as int)",
             "beta": "(l_quantity-25.5e0)/1000e0",
@@ -260,7 +260,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
     "v_phenotype": (
         "supplier",
         {
-            "phenotype": "concat('p', cast(s_suppkey as varchar(20)))",
+            "phenotype": "concat('p', cast(s_suppkey as string))",
             "description": "s_name",
             "n_non_missing": "cast(s_suppkey+300 as int)",
             "n_missing": "cast(s_suppkey%10 as int)",
@@ -277,7 +277,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
             "pos": _POS,
             "ref": _REF,
             "alt": _ALT,
-            "rsid": f"concat('rs', {_CHROM}, '_', cast({_POS} as varchar(20)))",
+            "rsid": f"concat('rs', {_CHROM}, '_', cast({_POS} as string))",
             "info": f"cast({_POS}%11 as double)/11e0",
         },
         f"{_POS}%4<>0",
@@ -288,7 +288,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
         {
             "chrom": _CHROM,
             "pos": _POS,
-            "snpid": f"concat('rs', cast({_POS} as varchar(20)))",
+            "snpid": f"concat('rs', cast({_POS} as string))",
             "ref": _REF,
             "alt": _ALT,
             "ac": "cast(l_partkey%50 as int)",
@@ -296,7 +296,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
             "beta": "(l_quantity-25.5e0)/10e0",
             "sebeta": "l_discount+0.01e0",
             "pval": _PVAL,
-            "phenotype": "concat('PheCode_', cast(l_suppkey%9 as varchar(20)))",
+            "phenotype": "concat('PheCode_', cast(l_suppkey%9 as string))",
         },
         None,
         False,

@@ -7,6 +7,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Settings the library's jobs are meant to run with. Generated methods above 8000 bytes
+# are never compiled by the JVM, so operators that would exceed it run unfused instead.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only for local masters."""
