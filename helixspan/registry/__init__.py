@@ -3,7 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from helixspan.operators import windows
-from helixspan.registry import filters, genes, joins, pipelines, scalars, studies  # noqa: F401
+from helixspan.registry import (  # noqa: F401
+    files,
+    filters,
+    genes,
+    joins,
+    pipelines,
+    scalars,
+    studies,
+)
 from helixspan.registry.core import ORACLES, QUERIES
 from helixspan.registry.views import Tables
 

@@ -181,6 +181,15 @@ def read_parquet(spark: SparkSession, paths: Paths, schema=None) -> DataFrame:
     return reader.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
+def read_datasets(spark: SparkSession, roots: Iterable[str], schema) -> DataFrame:
+    """Several folder-partitioned data sets as one table.
+
+    Each root has its own folder tree, so each is its own scan; the schema types the
+    folder columns, and filters on the result reach every scan.
+    """
+    return union_all(read_parquet(spark, root, schema) for root in roots)
+
+
 def read_panel(spark: SparkSession, path: Paths) -> DataFrame:
     """Variant panel; the nested frequency is pruned at the scan."""
     return spark.read.parquet(path).select(

@@ -35,6 +35,12 @@ def write_by_folder(
     )
 
 
+def write_by_study(df: DataFrame, path: str) -> None:
+    """All studies under one root (``col_study_id=...``), readable as a single data set."""
+    labelled = df.withColumn("col_study_id", df["study_id"])
+    write_by_folder(labelled, path, ["col_study_id", "bio_feature", "chrom"])
+
+
 def write_intervals(intervals: DataFrame, path: str) -> None:
     """Interval table as one TSV with a header; empty strings stay empty."""
     intervals.coalesce(1).write.csv(path, sep="\t", header=True, emptyValue="", mode="overwrite")
