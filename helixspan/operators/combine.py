@@ -25,9 +25,15 @@ def not_done(work: DataFrame, done: DataFrame, key: str = "study_id") -> DataFra
     return work.join(done.select(key), key, "left_anti")
 
 
-def extend(finished: DataFrame, new: DataFrame, key: str = "study_id") -> DataFrame:
-    """Finished rows plus the rows of studies not yet among them."""
-    studies = finished.select(key).distinct()
+def extend(
+    finished: DataFrame, new: DataFrame, done: DataFrame | None = None, key: str = "study_id"
+) -> DataFrame:
+    """Finished rows plus the rows of studies not yet done.
+
+    ``done`` lists the studies that count as finished, also those that left no row;
+    without it the studies among the finished rows do.
+    """
+    studies = (finished if done is None else done).select(key).distinct()
     return finished.unionByName(not_done(new, studies, key).select(finished.columns))
 
 

@@ -13,11 +13,17 @@ from helixspan.sources import sinks
 
 
 def filter_gwas(
-    gwas: DataFrame, threshold: float = 0.005, finished: DataFrame | None = None
+    gwas: DataFrame,
+    threshold: float = 0.005,
+    finished: DataFrame | None = None,
+    done: DataFrame | None = None,
 ) -> DataFrame:
-    """GWAS rows below a p-value in published form, on top of an earlier result."""
+    """GWAS rows below a p-value in published form, on top of an earlier result.
+
+    ``done`` names the studies of the earlier result that must not be filtered again.
+    """
     new = as_type_id(drop_molecular_keys(qc.p_at_most(gwas, threshold)))
-    return new if finished is None else combine.extend(finished, new)
+    return new if finished is None else combine.extend(finished, new, done)
 
 
 def filter_molecular(tables: Iterable[DataFrame], threshold: float = 0.005) -> DataFrame:

@@ -287,8 +287,9 @@ def union_all(t: Tables) -> DataFrame:
 )
 def incremental_union(t: Tables) -> DataFrame:
     table = _gwas_table(t)
-    finished = extract.filter_gwas(table.where(F.col("study_id") == "GCSTA"), 0.001)
-    return extract.filter_gwas(table, 0.005, finished)
+    earlier = table.where(F.col("study_id") == "GCSTA")
+    finished = extract.filter_gwas(earlier, 0.001)
+    return extract.filter_gwas(table, 0.005, finished, earlier.select("study_id"))
 
 
 @query(

@@ -1,0 +1,108 @@
+import gzip
+
+from pyspark.sql import functions as F
+
+from helixspan.plans import gwas, molecular
+from helixspan.sources import readers, sinks
+
+
+def test_mapped_tsv_with_bad_numbers_and_missing_columns(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text(
+        "hm_pos\thm_chrom\tp_value\textra\n10\t1\t0.5\tx\nX1\tX\tNA\ty\n1e3\t2\t1e-400\tz\n"
+    )
+    df = readers.read_mapped_tsv(spark, str(tmp_path / "a.tsv"), readers.HARMONISED_GWAS)
+    rows = df.select("chrom", "pos", "pval", "beta").collect()
+    assert [tuple(r) for r in rows] == [("1", 10, 0.5, None), ("X", None, None, None), ("2", None, 0.0, None)]
+    assert dict(df.dtypes)["info"] == "double"
+
+
+def test_flag_filter_runs_before_projection(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("hm_chrom\tlow_confidence_variant\n1\tfalse\n2\ttrue\n3\tNA\n")
+    rows = readers.read_mapped_tsv(spark, str(tmp_path / "a.tsv"), readers.HARMONISED_GWAS, confident=True)
+    assert [r.chrom for r in rows.collect()] == ["1"]
+
+
+def test_differing_headers_plain_and_compressed(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("hm_chrom\thm_pos\n1\t10\n")
+    with gzip.open(tmp_path / "b.tsv.gz", "wt") as out:
+        out.write("hm_pos\tdirection\thm_chrom\r\n20\t+\t2\n")
+    (tmp_path / "c.tsv").write_text("hm_chrom\thm_pos\n3\t30\n")
+    headers = readers.header_lines(spark, str(tmp_path))
+    assert [r.n_files for r in readers.header_groups(headers).collect()] == [2, 1]
+    rows = readers.read_mapped_by_header(
+        spark, str(tmp_path), readers.HARMONISED_PQTL, {"file_name": readers.source_name()}
+    )
+    assert sorted((r.chrom, r.pos, r.file_name) for r in rows.collect()) == [
+        ("1", 10, "a.tsv"), ("2", 20, "b.tsv.gz"), ("3", 30, "c.tsv"),
+    ]
+
+
+def test_stray_header_line_is_filtered_out(spark, tmp_path):
+    header = "\t".join(f.split()[0] for f in readers.EQTL_ROWS.split(", "))
+    line = "\t".join(
+        "ENSG1 1 100 A G v 3 0.1 0.5 0.2 0.1 SNP 20 200 0.9 ENSG1 ENSG1 1.5".split()
+    )
+    (tmp_path / "e.tsv").write_text(f"{header}\n{line}\n")
+    rows = readers.read_typed_tsv(spark, str(tmp_path / "e.tsv"), readers.EQTL_ROWS, header=False)
+    out = molecular.eqtl(rows, study_id="S", bio_feature="T").collect()
+    assert [(r.phenotype_id, r.n_total, r.mac, r.num_tests, r.info) for r in out] == [
+        ("ENSG1", 100, 20, 1, 0.9)
+    ]
+
+
+def test_repeated_run_replaces_only_its_folders(spark, table, tmp_path):
+    ddl = "bio_feature string, chrom string, pos int"
+    first = table([("a", "1", n) for n in range(5)] + [("b", "1", n) for n in range(5)], ddl)
+    out = str(tmp_path / "out")
+    sinks.write_by_folder(first, out)
+    sinks.write_by_folder(table([("a", "1", 9)], ddl), out)
+    counts = {r.bio_feature: r["count"] for r in spark.read.parquet(out).groupBy("bio_feature").count().collect()}
+    assert counts == {"a": 1, "b": 5}
+
+
+def test_position_layout(spark, table, tmp_path):
+    df = table([("1" if n % 2 else "2", (n * 37) % 1000, f"s{n % 7}") for n in range(1000)],
+               "chrom string, pos int, study_id string")
+    out = str(tmp_path / "pos")
+    sinks.write_by_position(df, out, 4)
+    ranges = (
+        spark.read.parquet(out)
+        .groupBy(F.col("_metadata.file_name").alias("f"))
+        .agg(F.min(F.struct("chrom", "pos")).alias("lo"), F.max(F.struct("chrom", "pos")).alias("hi"))
+        .orderBy("lo")
+        .collect()
+    )
+    assert len(ranges) > 1
+    for left, right in zip(ranges, ranges[1:]):
+        assert tuple(left.hi) <= tuple(right.lo)
+
+
+def test_one_hot_position_is_spread(table):
+    from helixspan.operators.layout import by_position
+
+    df = table([("1", 5, f"s{n:05d}") for n in range(4000)], "chrom string, pos int, study_id string")
+    sizes = by_position(df, 8).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 2000
+
+
+def test_manifest_keeps_null_fields(table, tmp_path):
+    sinks.write_manifest(table([("a", None)], "study_id string, n_cases int"), str(tmp_path / "m"))
+    text = "".join(p.read_text() for p in (tmp_path / "m").glob("part-*"))
+    assert '"n_cases":null' in text
+
+
+def test_split_delivery_is_one_study(spark, table, tmp_path):
+    header = "#chrom\tpos\tref\talt\tpval\tbeta\tsebeta\taf_alt\n"
+    for piece, rows in (("split000", ["1\t1\tA\tC\t0.0\t0.1\t0.2\t0.3"]), ("split001", ["1\t2\tA\tC\t0.5\t0.1\t0.2\t0.4"])):
+        (tmp_path / f"x.{piece}.tsv").write_text(header + "\n".join(rows) + "\n")
+    (tmp_path / "small.tsv").write_text(header + "1\t2\tA\tC\t0.5\t0.1\t0.2\t0.4\n")
+    manifest = table(
+        [(f"{tmp_path}/x.split*.tsv", "X", 1000, None), (f"{tmp_path}/small.tsv", "Y", 1000, 10)],
+        "in_tsv string, study_id string, n_total int, n_cases int",
+    )
+    out = str(tmp_path / "out")
+    gwas.ingest(spark, manifest, None, out, readers.FINNISH_GWAS, min_rows=2)
+    rows = spark.read.parquet(out).orderBy("pos").collect()
+    assert [(r.study_id, r.pos, r.pval, r.is_cc) for r in rows] == [
+        ("X", 1, 2.2250738585072014e-308, False), ("X", 2, 0.5, False),
+    ]

@@ -1,0 +1,156 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helixspan.functions import ids
+from helixspan.operators import harmonise, liftover, qtl
+
+PANEL = (
+    "chrom_b37 string, pos_b37 int, chrom_b38 string, pos_b38 int, ref string, alt string, "
+    "af struct<gnomad_nfe: double>"
+)
+
+
+def test_alignment_equals_or_join(table):
+    rng = random.Random(1)
+    panel = list({
+        ("1", p, a, b): ("1", p, "1", p + 5, a, b, (round(rng.random(), 3),))
+        for p in range(60) for a, b in [rng.sample("ACGT", 2), rng.sample("ACGT", 2)]
+    }.values())
+    panel.append(("1", 3, "1", 8, "A", "C", (0.1,)))
+    panel.append(("1", 3, "1", 8, "C", "A", (0.2,)))
+    panel = list({p[:2] + p[4:6]: p for p in panel}.values())
+    alleles = ["A", "C", "G", "T", None]
+    rows = [("1", rng.randrange(70), rng.choice(alleles), rng.choice(alleles), float(n))
+            for n in range(900)]
+    rows += [("1", 3, "A", "C", 1000.0)] * 300
+    df = table(rows, "chrom string, pos int, effect_allele string, other_allele string, beta double")
+    expected = sorted(
+        (r[4] if r[2] != p[4] else -r[4], p[4], p[5], p[3], p[6][0])
+        for r in rows for p in panel
+        if r[1] == p[1] and None not in (r[2], r[3]) and
+        ((p[4], p[5]) == (r[3], r[2]) or (p[4], p[5]) == (r[2], r[3]))
+    )
+    aligned = harmonise.orient(harmonise.align_alleles(df, table(panel + panel, PANEL)), "beta")
+    found = sorted(
+        (r.beta, r.ref, r.alt, r.pos_b38, r.gnomad_nfe) for r in aligned.collect()
+    )
+    assert found == expected
+
+
+def test_fill_eaf_with_repeated_panel_rows(table):
+    panel = table([("1", 1, "1", 1, "A", "C", (0.3,))] * 3 + [("1", 2, "1", 2, "A", "C", None)], PANEL)
+    rows = [("1", 1, "A", "C", None), ("1", 1, "A", "C", 0.9), ("1", 2, "A", "C", None),
+            ("1", 9, "A", "C", None)]
+    df = table(rows, "chrom string, pos int, ref string, alt string, eaf double")
+    found = sorted(((r.pos, r.eaf) for r in harmonise.fill_eaf(df, panel).collect()), key=str)
+    assert found == [(1, 0.3), (1, 0.9), (2, None), (9, None)]
+
+
+def test_panel_presence_keeps_other_build(table):
+    panel = table([("1", 1, "1", 11, "A", "C", (0.3,))] * 2, PANEL)
+    df = table([("1", 1, "A", "C"), ("1", 1, "A", "G")], "chrom string, pos int, ref string, alt string")
+    rows = harmonise.in_panel(df, panel, "b37", ("chrom_b38", "pos_b38")).collect()
+    assert [(r.alt, r.pos_b38, r.gnomad_nfe) for r in rows] == [("C", 11, 0.3)]
+
+
+def test_copies_and_sites(table):
+    df = table([("f", 1, "rs1"), ("f", 1, "rs2"), ("f", 2, "rs1"), ("g", 1, "rs1")],
+               "file string, x int, rsid string")
+    assert harmonise.drop_rsid_copies(df).count() == 3
+    counts = {r.file: (r.n_raw, r.n_dedup) for r in harmonise.copy_counts(df, "file").collect()}
+    assert counts == {"f": (3, 2), "g": (1, 1)}
+    sites = table([("1", 5, "A", "C,G")], "chrom string, pos int, ref string, alts string")
+    assert sorted(r.alt for r in harmonise.split_alternatives(sites).collect()) == ["C", "G"]
+
+
+def test_id_parsing(table):
+    df = table([("chr1_55_A_G_b38",), ("1_x_A_G",), ("bad",)], "v string")
+    out = df.select(*[c.alias(n) for n, c in ids.variant_parts(F.col("v"), "_").items()]).collect()
+    assert [tuple(r) for r in out] == [
+        ("1", 55, "A", "G"), ("1", None, "A", "G"), ("bad", None, None, None),
+    ]
+    junction = table([("chr1:15038:15796:clu_50677:ENSG00000227232.5",)], "j string")
+    parts = junction.select(*[c.alias(n) for n, c in ids.junction_parts(F.col("j")).items()])
+    assert tuple(parts.first()) == (
+        "chr1^15038^15796^clu_50677^ENSG00000227232", "clu_50677", "ENSG00000227232",
+    )
+
+
+@pytest.mark.parametrize(
+    "path, expected",
+    [
+        ("/in/PheCode_401.1_SAIGE_Nov2017_MACge20.tsv.gz", "SAIGE_401_1"),
+        ("gs://b/50_raw.neale2.gwas.imputed_v3.split000.tsv.gz", "NEALE2_50_raw"),
+        ("/in/other.tsv", None),
+    ],
+)
+def test_biobank_codes(table, path, expected):
+    df = table([(path,)], "path string")
+    assert df.select(ids.biobank_code(F.col("path"))).first()[0] == expected
+
+
+def test_path_parsing(table):
+    df = table([("/x/molecular_trait/gwas/a.parquet",), ("/x/gwas/b.parquet",)], "path string")
+    assert [r[0] for r in df.select(ids.data_type_of_path(F.col("path"))).collect()] == [
+        "molecular_trait", "gwas",
+    ]
+    with pytest.raises(Exception, match="no data type"):
+        table([("/x/b.parquet",)], "path string").select(
+            ids.data_type_of_path(F.col("path"))
+        ).collect()
+
+
+def test_junction_ties_and_counts(table):
+    rows = [("s", "t", j, "c1", "g", p) for j, p in
+            [("j1", 0.1), ("j1", 0.5), ("j1", None), ("j2", 0.1), ("j3", 0.2)]]
+    rows.append(("s", "t", "j4", "c1", "h", 0.9))
+    df = table(rows, "study_id string, bio_feature string, phenotype_id string, "
+               "splicing_cluster string, gene_id string, pval double")
+    best = qtl.best_junctions(df).collect()
+    counts = {(r.phenotype_id, r.num_tests) for r in best}
+    assert counts == {("j1", 2), ("j2", 1), ("j4", 1)}
+    assert len(best) == 5
+
+
+def test_test_counts_drop_null_keys(table):
+    df = table([("a", 0.1), ("a", None), (None, 0.1)], "k string, pval double")
+    assert [tuple(r) for r in qtl.add_num_tests(df, ["k"]).select("k", "num_tests").collect()] == [
+        ("a", 1), ("a", 1),
+    ]
+
+
+def test_unknown_tissue_fails(table):
+    codes = table([("Liver", "UB1")], "biofeature_string string, biofeature_code string")
+    df = table([("Liver",)], "biofeature_string string")
+    assert qtl.tissue_codes(df, codes).first().bio_feature == "UB1"
+    with pytest.raises(Exception, match="unknown tissue: Lung"):
+        qtl.tissue_codes(table([("Lung",)], "biofeature_string string"), codes).collect()
+
+
+def test_liftover_against_brute_force(table):
+    rng = random.Random(5)
+    blocks = []
+    for n in range(40):
+        start = rng.randrange(0, 600_000)
+        blocks.append((rng.choice("12"), start, start + rng.randrange(1, 200_000), "chr9",
+                       rng.randrange(10_000), 900_000, rng.choice("+-"), n))
+    sites = [(rng.choice("123"), rng.randrange(1, 800_000)) for _ in range(800)]
+    sites += [("1", blocks[0][1] + 1)] * 400
+
+    def by_hand(chrom, pos):
+        zero = pos - 1
+        fits = [b for b in blocks if b[0] == chrom and b[1] <= zero < b[2]]
+        if not fits:
+            return None, None
+        b = max(fits, key=lambda x: x[7])
+        along = b[4] + zero - b[1]
+        return b[3], (b[5] - 1 - along if b[6] == "-" else along) + 1
+
+    from helixspan.sources.readers import CHAIN_BLOCKS
+
+    segments = liftover.flatten_chain(table(blocks, CHAIN_BLOCKS))
+    lifted = liftover.lift(table(sites, "chrom string, pos int"), segments)
+    found = sorted((tuple(r) for r in lifted.collect()), key=str)
+    assert found == sorted(((c, p, *by_hand(c, p)) for c, p in sites), key=str)
