@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from helixspan.session import hand_over
+
 
 def union_all(tables: Iterable[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Union by name; with ``allow_missing`` absent columns become null."""
@@ -33,7 +35,7 @@ def extend(
     ``done`` lists the studies that count as finished, also those that left no row;
     without it the studies among the finished rows do.
     """
-    studies = (finished if done is None else done).select(key).distinct()
+    studies = hand_over((finished if done is None else done).select(key).distinct(), "done")
     return finished.unionByName(not_done(new, studies, key).select(finished.columns))
 
 

@@ -7,101 +7,68 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from helixspan.functions import stats
+from helixspan.session import hand_over
 
 VARIANT = ("chrom", "pos", "ref", "alt")
 
 
-def panel_frequencies(panel: DataFrame, build: str = "b38") -> DataFrame:
-    """(chrom, pos, ref, alt, gnomad_nfe), one row per variant, nulls left out.
+def panel_sites(panel: DataFrame, build: str = "b38", keep: Sequence[str] = ()) -> DataFrame:
+    """(chrom, pos, ref, alt, gnomad_nfe and ``keep``), one row per variant, nulls left out.
 
-    Only one field of the nested ``af`` struct is read. The grouping is on the join
-    keys, so it needs no exchange beyond the one the join itself would make.
+    Only one field of the nested ``af`` struct is read. The table is written down: it
+    serves several joins, and a join whose other side is a plain scan is one that
+    AQE can split when very many rows share a variant.
     """
-    return (
-        panel.select(
-            F.col(f"chrom_{build}").alias("chrom"),
-            F.col(f"pos_{build}").alias("pos"),
-            "ref",
-            "alt",
-            F.col("af.gnomad_nfe").alias("gnomad_nfe"),
-        )
-        .dropna()
-        .groupBy(*VARIANT)
-        .agg(F.min("gnomad_nfe").alias("gnomad_nfe"))
-    )
+    values = ["gnomad_nfe", *keep]
+    known = panel.select(
+        F.col(f"chrom_{build}").alias("chrom"),
+        F.col(f"pos_{build}").alias("pos"),
+        "ref",
+        "alt",
+        F.col("af.gnomad_nfe").alias("gnomad_nfe"),
+        *keep,
+    ).dropna(subset=[*VARIANT, "gnomad_nfe"])
+    if not keep:
+        once = known.groupBy(*VARIANT).agg(F.min("gnomad_nfe").alias("gnomad_nfe"))
+    else:
+        grouped = known.groupBy(*VARIANT).agg(F.min(F.struct(*values)).alias("_site"))
+        once = grouped.select(*VARIANT, "_site.*")
+    return hand_over(once, "panel")
 
 
-def fill_eaf(df: DataFrame, panel: DataFrame, build: str = "b38") -> DataFrame:
-    """Take a missing effect-allele frequency from the panel.
+def fill_eaf(df: DataFrame, sites: DataFrame) -> DataFrame:
+    """Take a missing effect-allele frequency from the panel sites.
 
     Only rows without a frequency are joined; the others pass by without a shuffle.
     """
     looked_up = (
         df.where(F.col("eaf").isNull())
-        .join(panel_frequencies(panel, build), list(VARIANT), "left")
+        .join(sites.select(*VARIANT, "gnomad_nfe"), list(VARIANT), "left")
         .withColumn("eaf", F.col("gnomad_nfe"))
-        .drop("gnomad_nfe")
     )
     return df.where(F.col("eaf").isNotNull()).unionByName(looked_up.select(df.columns))
 
 
-def in_panel(
-    df: DataFrame, panel: DataFrame, build: str = "b38", keep: Sequence[str] = ()
-) -> DataFrame:
-    """Rows whose variant is in the panel, with the panel frequency.
+def in_panel(df: DataFrame, sites: DataFrame) -> DataFrame:
+    """Rows whose variant is among the panel sites, with the sites' columns."""
+    return df.join(sites, list(VARIANT))
 
-    ``keep`` names further panel columns (such as the other build's position).
-    """
-    known = panel.where(F.col("af.gnomad_nfe").isNotNull()).select(
-        F.col(f"chrom_{build}").alias("chrom"),
-        F.col(f"pos_{build}").alias("pos"),
-        "ref",
-        "alt",
-        F.col("af.gnomad_nfe").alias("gnomad_nfe"),
-        *keep,
-    )
-    first = known.groupBy(*VARIANT).agg(
-        F.min(F.struct("gnomad_nfe", *keep)).alias("_panel")
-        if keep
-        else F.min("gnomad_nfe").alias("gnomad_nfe")
-    )
-    joined = df.join(first, list(VARIANT))
-    return joined.select("*", "_panel.*").drop("_panel") if keep else joined
 
-
-def align_alleles(df: DataFrame, panel: DataFrame, build: str = "b37") -> DataFrame:
+def align_alleles(df: DataFrame, sites: DataFrame) -> DataFrame:
     """Match variants by position and allele pair in either order.
 
-    Both sides carry the pair in sorted order, so this is one equi-join instead
-    of an OR condition per position. The panel is reduced on the same four keys to
-    at most one site per orientation; it supplies ref, alt, the new-build position and
-    its frequency. Strand-ambiguous pairs are kept.
+    Both sides carry the pair in sorted order, so this is one equi-join instead of an OR
+    condition per position. The sites supply ref, alt and their other columns.
+    Strand-ambiguous pairs are kept.
     """
     pair = [F.col("effect_allele"), F.col("other_allele")]
     rows = df.where(pair[0].isNotNull() & pair[1].isNotNull()).withColumns(
         {"_low": F.least(*pair), "_high": F.greatest(*pair)}
     )
-    carried = [c for c in ("chrom_b38", "pos_b38") if build != "b38" and c in panel.columns]
-    site = F.struct("ref", "alt", *carried, F.col("af.gnomad_nfe").alias("gnomad_nfe"))
-    sites = (
-        panel.where("ref <> alt")
-        .groupBy(
-            F.col(f"chrom_{build}").alias("chrom"),
-            F.col(f"pos_{build}").alias("pos"),
-            F.least("ref", "alt").alias("_low"),
-            F.greatest("ref", "alt").alias("_high"),
-        )
-        .agg(
-            F.min(F.when(F.col("ref") < F.col("alt"), site)).alias("_rising"),
-            F.min(F.when(F.col("ref") > F.col("alt"), site)).alias("_falling"),
-        )
-    )
-    listed = F.filter(F.array("_rising", "_falling"), lambda s: s.isNotNull())
-    return (
-        rows.join(sites, ["chrom", "pos", "_low", "_high"])
-        .withColumn("_site", F.explode(listed))
-        .select(*df.columns, "_site.*")
+    either = sites.where("ref <> alt").withColumns(
+        {"_low": F.least("ref", "alt"), "_high": F.greatest("ref", "alt")}
     )
+    return rows.join(either, ["chrom", "pos", "_low", "_high"]).drop("_low", "_high")
 
 
 def orient(df: DataFrame, *effects: str) -> DataFrame:

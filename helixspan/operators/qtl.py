@@ -38,9 +38,13 @@ def cis_rows(
     df: DataFrame, genes: DataFrame, on: Sequence[str] = ("file_name", "chrom"),
     distance: int = 1_000_000,
 ) -> DataFrame:
-    """Rows near the transcription start of their gene, on the gene's chromosome."""
+    """Rows near the transcription start of their gene, on the gene's chromosome.
+
+    The map usually comes out of a join, whose size Spark can only guess; written down
+    it is known to be small, and the rows need no shuffle.
+    """
     return (
-        df.join(genes, list(on))
+        df.join(hand_over(genes, "gene-map"), list(on))
         .where(F.abs(F.col("pos") - F.col("tss")) <= distance)
         .drop("tss")
     )

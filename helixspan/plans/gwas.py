@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from helixspan.functions import stats
 from helixspan.operators import harmonise, qc
 from helixspan.schema import GWAS_SCHEMA, conform
+from helixspan.session import hand_over
 from helixspan.sources import readers, sinks
 
 # Columns a usable row must have before frequencies are filled in.
@@ -20,12 +21,10 @@ REQUIRED = ["chrom", "pos", "ref", "alt", "pval", "beta", "se"]
 
 
 def _finish(usable: DataFrame, studies: DataFrame, min_mac: float) -> DataFrame:
-    sized = usable.join(
-        studies.select(
-            "study_id", F.col("n_total").cast("int"), F.col("n_cases").cast("int")
-        ),
-        "study_id",
+    sizes = studies.select(
+        "study_id", F.col("n_total").cast("int"), F.col("n_cases").cast("int")
     )
+    sized = usable.join(hand_over(sizes, "study-sizes"), "study_id")
     kept = qc.gwas_count_filter(qc.add_gwas_counts(sized), min_mac)
     labelled = kept.withColumns(
         {
@@ -50,12 +49,15 @@ def standardise(
     """Unified GWAS rows from mapped ones (``study_id`` plus the mapped columns).
 
     Odds ratios become effects, missing standard errors and frequencies are filled
-    in, studies that are too small and variants that are too rare are dropped.
+    in, studies that are too small and variants that are too rare are dropped. The
+    delivery is parsed once; counting, the frequency lookup and the output then read
+    the usable rows as columns.
     """
     effects = stats.odds_to_effect(rows)
-    usable = qc.complete(effects, [c for c in REQUIRED if c != "se"]).where(stats.has_or_gets_se())
+    complete = qc.complete(effects, [c for c in REQUIRED if c != "se"])
+    usable = hand_over(complete.where(stats.has_or_gets_se()), "usable-rows")
     gated = qc.min_rows_gate(usable, min_rows)
-    filled = qc.complete(harmonise.fill_eaf(gated, panel), ["eaf"])
+    filled = qc.complete(harmonise.fill_eaf(gated, harmonise.panel_sites(panel)), ["eaf"])
     return _finish(stats.impute_se(filled), studies, min_mac)
 
 
@@ -63,8 +65,8 @@ def standardise_complete(
     rows: DataFrame, studies: DataFrame, min_rows: int = 10000, min_mac: float = 10
 ) -> DataFrame:
     """The same for deliveries that already have effects, errors and frequencies."""
-    usable = qc.min_rows_gate(qc.complete(rows, [*REQUIRED, "eaf"]), min_rows)
-    return _finish(usable, studies, min_mac)
+    usable = hand_over(qc.complete(rows, [*REQUIRED, "eaf"]), "usable-rows")
+    return _finish(qc.min_rows_gate(usable, min_rows), studies, min_mac)
 
 
 def qc_steps(min_mac: float = 10) -> list[tuple[str, Column]]:
@@ -94,7 +96,7 @@ def read_studies(
         spark, paths, columns, {"in_tsv": _unsplit(readers.source_file())}
     )
     files = manifest.select(_unsplit(F.col("in_tsv")).alias("in_tsv"), "study_id")
-    return rows.join(files, "in_tsv").drop("in_tsv")
+    return rows.join(hand_over(files, "input-files"), "in_tsv").drop("in_tsv")
 
 
 def ingest(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from helixspan.functions import ids, stats
 from helixspan.operators import harmonise, qc, qtl
 from helixspan.schema import QTL_REQUIRED, QTL_SCHEMA, conform
+from helixspan.session import hand_over
 
 SCOPE = ("study_id", "bio_feature")
 
@@ -63,7 +64,9 @@ def eqtl(rows: DataFrame, min_mac: float = 5, **constants) -> DataFrame:
 
 def eqtl_from_z(rows: DataFrame, panel: DataFrame, min_mac: float = 5, **constants) -> DataFrame:
     """Expression QTLs given as z-scores in the old build."""
-    aligned = harmonise.orient(harmonise.align_alleles(rows, panel, "b37"), "z")
+    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"])
+    matched = hand_over(harmonise.align_alleles(rows, sites), "aligned")
+    aligned = harmonise.orient(matched, "z")
     z, eaf, n = F.col("z"), F.col("gnomad_nfe"), F.col("n_total")
     effects = with_constants(
         aligned,
@@ -103,10 +106,9 @@ def tissue_eqtl(
         gene_id=ids.before_first_dot(F.col("gene_id")),
         **constants,
     )
-    known = harmonise.in_panel(
-        qtl.tissue_codes(parsed, codes), panel, "b37", keep=("chrom_b38", "pos_b38")
-    )
-    named = _from_panel_minor(known).withColumn("phenotype_id", F.col("gene_id"))
+    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"])
+    known = harmonise.in_panel(qtl.tissue_codes(parsed, codes), sites)
+    named = _from_panel_minor(hand_over(known, "known")).withColumn("phenotype_id", F.col("gene_id"))
     tested = qtl.add_num_tests(named, [*SCOPE, "gene_id"])
     return _finish(harmonise.to_new_build(tested), "eqtl")
 
@@ -122,12 +124,11 @@ def tissue_sqtl(
         **ids.junction_parts(F.col("phenotype_id")),
         **constants,
     )
-    best = qtl.best_junction_table(
-        harmonise.in_panel(parsed, panel, "b38"), SCOPE, "pval_nominal"
-    )
+    sites = harmonise.panel_sites(panel, "b38")
+    best = qtl.best_junction_table(harmonise.in_panel(parsed, sites), SCOPE, "pval_nominal")
     # The selection is small, so it comes before the second join with the panel.
     chosen = parsed.join(best, [*SCOPE, "phenotype_id"])
-    return _finish(_from_panel_minor(harmonise.in_panel(chosen, panel, "b38")), "sqtl")
+    return _finish(_from_panel_minor(harmonise.in_panel(chosen, sites)), "sqtl")
 
 
 def aligned_pqtl(
@@ -146,8 +147,11 @@ def aligned_pqtl(
         pval=stats.p_from_log10(F.col("log10_pval")),
         **constants,
     )
-    near = qtl.cis_rows(upper, gene_map, ["phenotype_id", "chrom"], distance)
-    aligned = harmonise.orient(harmonise.align_alleles(near, panel, "b37"), "beta")
+    near = hand_over(
+        qtl.cis_rows(upper, gene_map, ["phenotype_id", "chrom"], distance), "cis-rows"
+    )
+    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"])
+    aligned = harmonise.orient(harmonise.align_alleles(near, sites), "beta")
     tested = qtl.add_num_tests(
         aligned.withColumn("eaf", F.col("gnomad_nfe")), [*SCOPE, "phenotype_id"]
     )
@@ -165,10 +169,11 @@ def harmonised_pqtl(
     With a ``z`` column the standard error comes from z. Without ``min_mac`` no
     allele-count filter is applied.
     """
-    near = qtl.cis_rows(with_constants(rows, **constants), gene_map, ["file_name", "chrom"], distance)
+    named = with_constants(rows, **constants)
+    near = hand_over(qtl.cis_rows(named, gene_map, ["file_name", "chrom"], distance), "cis-rows")
     if "z" in near.columns:
         near = near.withColumn("se", stats.se_from_z(F.col("beta"), F.col("z")))
-    filled = qc.complete(harmonise.fill_eaf(near, panel), ["eaf"])
+    filled = qc.complete(harmonise.fill_eaf(near, harmonise.panel_sites(panel)), ["eaf"])
     tested = qtl.add_num_tests(filled, [*SCOPE, "gene_id"])
     counted = _count_alleles(tested, min_mac)
     return _finish(counted.withColumn("phenotype_id", F.col("gene_id")), "pqtl")

@@ -16,7 +16,7 @@ from helixspan.registry.views import Tables
         AND g.ref = p.ref AND g.alt = p.alt"""
 )
 def eaf_fill(t: Tables) -> DataFrame:
-    filled = harmonise.fill_eaf(t.view("v_gwas"), t.panel(), "b37")
+    filled = harmonise.fill_eaf(t.view("v_gwas"), harmonise.panel_sites(t.panel(), "b37"))
     return filled.select("study_id", "chrom", "pos", "ref", "alt", "eaf")
 
 
@@ -27,7 +27,8 @@ def eaf_fill(t: Tables) -> DataFrame:
         AND q.ref = p.ref AND q.alt = p.alt"""
 )
 def panel_presence(t: Tables) -> DataFrame:
-    known = harmonise.in_panel(t.view("v_qtl"), t.panel(), "b37", keep=("pos_b38",))
+    sites = harmonise.panel_sites(t.panel(), "b37", ["pos_b38"])
+    known = harmonise.in_panel(t.view("v_qtl"), sites)
     eaf = stats.eaf_from_maf(F.col("maf"), F.col("gnomad_nfe"))
     return known.select("phenotype_id", "chrom", "pos", "ref", "alt", eaf.alias("eaf"), "pos_b38")
 
@@ -41,7 +42,8 @@ def panel_presence(t: Tables) -> DataFrame:
           OR (p.ref = a.effect_allele AND p.alt = a.other_allele))"""
 )
 def allele_harmonise(t: Tables) -> DataFrame:
-    aligned = harmonise.orient(harmonise.align_alleles(t.view("v_alleles"), t.panel()), "beta")
+    sites = harmonise.panel_sites(t.panel(), "b37", ["chrom_b38", "pos_b38"])
+    aligned = harmonise.orient(harmonise.align_alleles(t.view("v_alleles"), sites), "beta")
     return harmonise.to_new_build(aligned).select(
         "gene_id", "chrom", "pos", "ref", "alt", "beta", F.col("gnomad_nfe").alias("eaf")
     )

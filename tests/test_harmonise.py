@@ -32,7 +32,8 @@ def test_alignment_equals_or_join(table):
         if r[1] == p[1] and None not in (r[2], r[3]) and
         ((p[4], p[5]) == (r[3], r[2]) or (p[4], p[5]) == (r[2], r[3]))
     )
-    aligned = harmonise.orient(harmonise.align_alleles(df, table(panel + panel, PANEL)), "beta")
+    sites = harmonise.panel_sites(table(panel + panel, PANEL), "b37", ["pos_b38"])
+    aligned = harmonise.orient(harmonise.align_alleles(df, sites), "beta")
     found = sorted(
         (r.beta, r.ref, r.alt, r.pos_b38, r.gnomad_nfe) for r in aligned.collect()
     )
@@ -44,14 +45,16 @@ def test_fill_eaf_with_repeated_panel_rows(table):
     rows = [("1", 1, "A", "C", None), ("1", 1, "A", "C", 0.9), ("1", 2, "A", "C", None),
             ("1", 9, "A", "C", None)]
     df = table(rows, "chrom string, pos int, ref string, alt string, eaf double")
-    found = sorted(((r.pos, r.eaf) for r in harmonise.fill_eaf(df, panel).collect()), key=str)
+    filled = harmonise.fill_eaf(df, harmonise.panel_sites(panel))
+    found = sorted(((r.pos, r.eaf) for r in filled.collect()), key=str)
     assert found == [(1, 0.3), (1, 0.9), (2, None), (9, None)]
 
 
 def test_panel_presence_keeps_other_build(table):
     panel = table([("1", 1, "1", 11, "A", "C", (0.3,))] * 2, PANEL)
     df = table([("1", 1, "A", "C"), ("1", 1, "A", "G")], "chrom string, pos int, ref string, alt string")
-    rows = harmonise.in_panel(df, panel, "b37", ("chrom_b38", "pos_b38")).collect()
+    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"])
+    rows = harmonise.in_panel(df, sites).collect()
     assert [(r.alt, r.pos_b38, r.gnomad_nfe) for r in rows] == [("C", 11, 0.3)]
 
 
