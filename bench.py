@@ -60,6 +60,9 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # The tables are single files of a few MB; broadcasting one would leave the join to
+        # the one task that scans the other.
+        .config("spark.sql.autoBroadcastJoinThreshold", "2m")
         .config(map=SETTINGS)
         .getOrCreate()
     )

@@ -205,14 +205,15 @@ def read_paths(spark: SparkSession, path: Paths) -> DataFrame:
     )
 
 
-def _first_line(files: Iterable) -> Iterable:
+def _first_line(batches: Iterable) -> Iterable:
     """Per file path: its first line. Opens the file and reads one block."""
-    import pandas as pd
+    import pyarrow as pa
     from pyarrow import fs
 
-    for batch in files:
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
         headers = []
-        for path in batch["path"]:
+        for path in paths:
             system, inner = fs.FileSystem.from_uri(path)
             with system.open_input_stream(inner, compression=None) as raw:
                 stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
@@ -220,7 +221,7 @@ def _first_line(files: Iterable) -> Iterable:
                 while b"\n" not in text and (block := stream.read(8192)):
                     text += block
             headers.append(text.split(b"\n", 1)[0].decode("utf-8").rstrip("\r"))
-        yield pd.DataFrame({"file_path": batch["path"], "header": headers})
+        yield pa.RecordBatch.from_pydict({"file_path": paths, "header": headers})
 
 
 def header_lines(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -231,7 +232,7 @@ def header_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     """
     listing = spark.read.format("binaryFile").load(paths).select("path")
     spread = listing.repartition(spark.sparkContext.defaultParallelism)
-    return spread.mapInPandas(_first_line, "file_path string, header string")
+    return spread.mapInArrow(_first_line, "file_path string, header string")
 
 
 def header_groups(headers: DataFrame) -> DataFrame:
