@@ -93,9 +93,10 @@ def best_junctions(
 
 def tissue_codes(df: DataFrame, codes: DataFrame, name: str = "biofeature_string") -> DataFrame:
     """Replace tissue names by ontology codes; an unknown tissue fails the job."""
-    lookup = codes.groupBy(F.col("biofeature_string").alias(name)).agg(
+    once = codes.groupBy(F.col("biofeature_string").alias(name)).agg(
         F.min("biofeature_code").alias("_code")
     )
+    lookup = hand_over(once, "tissue-codes")
     unknown = F.raise_error(F.concat(F.lit("unknown tissue: "), F.coalesce(name, F.lit("null"))))
     return (
         df.join(lookup, name, "left")
