@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 _REF = "substr('ACGT', cast(l_partkey%4 as int)+1, 1)"
 _ALT = "substr('ACGT', cast((l_partkey%4 + 1 + l_suppkey%3)%4 as int)+1, 1)"
 _CHROM = "cast(l_linenumber as string)"
-_POS = "cast(l_orderkey*37 + l_partkey%37 as int)"
+# Positions stay within the length of a chromosome at any table size.
+_PLACE = "(l_orderkey*37 + l_partkey%37)%200000000"
+_POS = f"cast({_PLACE} as int)"
 _PVAL = (
     "cast((l_partkey*7919 + l_suppkey*104729 + l_orderkey*31)%100003 as double)/100003e0"
 )
 _GENE = "concat('ENSG', lpad(cast(l_suppkey as string),11,'0'))"
 _NULL = "cast(null as string)"
-_STUDY = "concat('GCST', lpad(cast(c_custkey as string),6,'0'))"
+_STUDY = "concat('GCST', lpad(cast(c_custkey as string),10,'0'))"
 
 # view -> (table, columns, optional filter, distinct)
 VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
@@ -54,7 +56,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
             "pos_b38": f"{_POS}+1000",
             "ref": _REF,
             "alt": _ALT,
-            "gnomad_nfe": f"cast(({_POS}*13)%101 as double)/101e0",
+            "gnomad_nfe": f"cast(({_PLACE}*13)%101 as double)/101e0",
         },
         f"{_POS}%3<>0",
         True,
@@ -106,7 +108,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None, bool]] = {
         {
             "gene_id": "concat('ENSG', lpad(cast(s_suppkey as string),11,'0'))",
             "chr": "cast(1+s_suppkey%7 as string)",
-            "tss": "cast(s_suppkey*5501 as int)",
+            "tss": "cast(s_suppkey*5501%200000000 as int)",
         },
         None,
         False,
