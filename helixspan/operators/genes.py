@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from helixspan.functions import ids, stats
-from helixspan.operators.ordered import _match, carry_in, range_sections
+from helixspan.operators.keys import same_keys
+from helixspan.operators.ordered import carry_in, range_sections
 
 GENE_KEYS = ("study_id", "bio_feature", "gene_id")
 DATASET_KEYS = ("study_id", "bio_feature")
@@ -76,7 +77,7 @@ def bh_fdr(genes: DataFrame, group: Sequence[str] = DATASET_KEYS) -> DataFrame:
     )
     below = scored.where(F.col("p_bonf") < 1).alias("g")
     looked_up = below.join(
-        qvalues.where(F.col("p_bonf") < 1).alias("q"), _match("g", "q", [*group, "p_bonf"])
+        qvalues.where(F.col("p_bonf") < 1).alias("q"), same_keys("g", "q", [*group, "p_bonf"])
     ).select("g.*", "q.qval")
     at_one = scored.where(F.col("p_bonf") >= 1).withColumn("qval", F.lit(1.0))
     return looked_up.unionByName(at_one)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from helixspan.operators.keys import same_keys
 from helixspan.session import hand_over
 
 
@@ -27,13 +28,6 @@ def range_sections(
     return hand_over(ranged.withColumn("_section", F.spark_partition_id()), "sections")
 
 
-def _match(left: str, right: str, columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in columns:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
-
-
 def carry_in(
     sections: DataFrame, group: Sequence[str], values: dict[str, tuple[Column, Column, Column]]
 ) -> DataFrame:
@@ -64,7 +58,7 @@ def carry_in(
     keys = [*group, "_section"]
     return (
         sections.alias("r")
-        .join(carried.alias("c"), _match("r", "c", keys))
+        .join(carried.alias("c"), same_keys("r", "c", keys))
         .select("r.*", *[f"c.{name}" for name in values])
     )
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from helixspan.schema import INTERVAL_SCHEMA
+from helixspan.operators.keys import same_keys
 from helixspan.session import hand_over
 
 KEYS = ("study_id", "phenotype_id", "bio_feature", "chrom")
@@ -33,15 +33,6 @@ def _tile(position: Column | str, size: int) -> Column:
     return F.floor(column / F.lit(size))
 
 
-def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
-    """Null-safe key equality (GWAS rows have no phenotype); still hashable join keys."""
-    matches = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
-    condition = matches[0]
-    for match in matches[1:]:
-        condition = condition & match
-    return condition
-
-
 def merge_windows(hits: DataFrame, width: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """Merged intervals [pos - width, pos + width]; touching ones join, starts stop at 0."""
     size = 2 * width + 1
@@ -81,7 +72,7 @@ def keep_inside(
     )
     rows = df.withColumn("_tile", _tile("pos", tile_size)).alias("rows")
     condition = (
-        _same_keys("rows", "iv", [*keys, "_tile"])
+        same_keys("rows", "iv", [*keys, "_tile"])
         & (F.col("rows.pos") >= F.col("iv.start"))
         & (F.col("rows.pos") <= F.col("iv.end"))
     )
@@ -122,7 +113,7 @@ def keep_near(
     )
     rows = df.withColumn("_tile", _tile("pos", size)).alias("rows")
     condition = (
-        _same_keys("rows", "hit", [*keys, "_tile"])
+        same_keys("rows", "hit", [*keys, "_tile"])
         & (F.col("rows.pos") >= F.col("hit._first") - F.lit(distance))
         & (F.col("rows.pos") <= F.col("hit._last") + F.lit(distance))
     )
@@ -165,7 +156,7 @@ def keep_near_by_frame(
         .select(*keys, "pos")
     )
     return df.alias("rows").join(
-        near.alias("near"), _same_keys("rows", "near", [*keys, "pos"]), "left_semi"
+        near.alias("near"), same_keys("rows", "near", [*keys, "pos"]), "left_semi"
     )
 
 
@@ -186,7 +177,3 @@ def partition_plan(intervals: DataFrame, per_partition: int = 10) -> DataFrame:
         .cast("int")
         .alias("n_partitions"),
     )
-
-
-def empty_intervals(spark) -> DataFrame:
-    return spark.createDataFrame([], INTERVAL_SCHEMA)

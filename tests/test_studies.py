@@ -77,3 +77,15 @@ def test_work_status(table):
     df = table(rows, "ingested string, to_ingest string")
     df = df.withColumn("to_ingest", df.to_ingest.try_cast("int"))
     assert tuple(studies.work_status(df, df.limit(1)).first()) == (1, 2, 1, 1, 1)
+
+
+def test_selections(table):
+    df = table([("a", "ge"), ("b", "exon"), ("c", "microarray")], "study string, quant_method string")
+    assert sorted(r.study for r in studies.wanted_quantifications(df).collect()) == ["a", "c"]
+    assert [r.study for r in studies.select_studies(df, "quant_method", "^ex").collect()] == ["b"]
+    paths = table([("/x/a.tsv",)], "path string")
+    work = table([("/x/a.tsv", 1), ("/x/b.tsv", 2)], "in_tsv string, n int")
+    assert [r.n for r in combine.existing_only(work, paths, "in_tsv").collect()] == [1]
+    coded = table([("NEALE2_670_1",), ("NEALE2_6700_1",), (None,)], "code string")
+    kept = combine.without_prefixes(coded, "code", studies.BIOBANK_EXCLUDED).collect()
+    assert sorted(str(r.code) for r in kept) == ["NEALE2_6700_1", "None"]
