@@ -8,10 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
-def same_keys(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Null-safe equality of the named columns of two aliases; still hashable join keys.
+def same_keys(
+    left: str, right: str, columns: Sequence[str], required: Sequence[str] = ()
+) -> Column:
+    """Equality of the named columns of two aliases, usable as hash join keys.
 
-    GWAS rows have no phenotype or tissue, and their nulls belong together.
+    Nulls match nulls (GWAS rows have no phenotype or tissue, and belong together),
+    except in ``required`` columns.
     """
-    matches = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    return reduce(lambda a, b: a & b, matches)
+    matches = []
+    for name in columns:
+        a, b = F.col(f"{left}.{name}"), F.col(f"{right}.{name}")
+        matches.append(a == b if name in required else a.eqNullSafe(b))
+    return reduce(lambda x, y: x & y, matches)

@@ -17,6 +17,8 @@ from helixspan.operators.keys import same_keys
 from helixspan.session import hand_over
 
 KEYS = ("study_id", "phenotype_id", "bio_feature", "chrom")
+# Rows without these belong to no window.
+_REQUIRED = ("study_id", "chrom", "pos", "_tile")
 
 
 def significant(data_type: str, pval: float = 5e-8) -> Column:
@@ -36,7 +38,8 @@ def _tile(position: Column | str, size: int) -> Column:
 def merge_windows(hits: DataFrame, width: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """Merged intervals [pos - width, pos + width]; touching ones join, starts stop at 0."""
     size = 2 * width + 1
-    tiles = hits.groupBy(*keys, _tile("pos", size).alias("_tile")).agg(
+    placed = hits.dropna(subset=[c for c in _REQUIRED if c in hits.columns])
+    tiles = placed.groupBy(*keys, _tile("pos", size).alias("_tile")).agg(
         F.min("pos").alias("_first"), F.max("pos").alias("_last")
     )
     along = Window.partitionBy(*keys).orderBy("_tile")
@@ -72,7 +75,7 @@ def keep_inside(
     )
     rows = df.withColumn("_tile", _tile("pos", tile_size)).alias("rows")
     condition = (
-        same_keys("rows", "iv", [*keys, "_tile"])
+        same_keys("rows", "iv", [*keys, "_tile"], _REQUIRED)
         & (F.col("rows.pos") >= F.col("iv.start"))
         & (F.col("rows.pos") <= F.col("iv.end"))
     )
@@ -113,7 +116,7 @@ def keep_near(
     )
     rows = df.withColumn("_tile", _tile("pos", size)).alias("rows")
     condition = (
-        same_keys("rows", "hit", [*keys, "_tile"])
+        same_keys("rows", "hit", [*keys, "_tile"], _REQUIRED)
         & (F.col("rows.pos") >= F.col("hit._first") - F.lit(distance))
         & (F.col("rows.pos") <= F.col("hit._last") + F.lit(distance))
     )
@@ -156,7 +159,7 @@ def keep_near_by_frame(
         .select(*keys, "pos")
     )
     return df.alias("rows").join(
-        near.alias("near"), same_keys("rows", "near", [*keys, "pos"]), "left_semi"
+        near.alias("near"), same_keys("rows", "near", [*keys, "pos"], _REQUIRED), "left_semi"
     )
 
 

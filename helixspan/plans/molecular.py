@@ -7,7 +7,6 @@ as keyword values; a value may also be a Column.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from helixspan.functions import ids, stats

@@ -152,3 +152,19 @@ def test_job_molecular_layout(spark, table, tmp_path):
     )
     assert spark.read.parquet(out + "/bio_feature=t/chrom=1").count() == 21
     assert spark.read.csv(str(tmp_path / "iv"), sep="\t", header=True).count() == 1
+
+
+def test_rows_without_study_chromosome_or_position_are_not_kept(table):
+    rows = [(None, None, None, "1", 5, 0.0), ("s", None, None, None, 5, 0.0),
+            ("s", None, None, "1", None, 0.0), ("s", None, None, "1", 7, 0.0)]
+    df = table(rows, SCHEMA)
+    hit = F.col("pval") <= 0.05
+    forms = [
+        windows.extract_windows(df, 3, "gwas", 0.05)[0],
+        windows.keep_near_by_frame(df, hit, 3),
+        windows.keep_near(df, df.where(hit), 3),
+    ]
+    for kept in forms:
+        assert [tuple(r) for r in kept.collect()] == [("s", None, None, "1", 7, 0.0)]
+    intervals = windows.merge_windows(df.where(hit), 3).collect()
+    assert [(r.start, r.end) for r in intervals] == [(4, 10)]
