@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixspan.llm import bpe, licenses, mixing, rules
+from helixspan.llm import bpe, iblt, langid, licenses, mixing, neardup, pii, quality, rules, urls
 from helixspan.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,33 @@ def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
 def op6_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge(table(spark, folder, "documents"))
     return judged.drop("n_lines", "failed")
+
+
+@query
+def op2_iblt(spark: SparkSession, folder: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(table(spark, folder, "pages"))
+
+
+@query
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_classes(table(spark, folder, "documents"))
+
+
+@query
+def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
