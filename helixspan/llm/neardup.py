@@ -43,6 +43,12 @@ REMEMBERED = 300_000
 PIVOT_ROUNDS = 6
 WORDS = re.compile(r"\w+")
 GOLD = np.uint64(0x9E3779B97F4A7C15)
+STEP = 0x9E3779B97F4A7C15
+
+
+def times(factor: int, by: int = STEP) -> np.uint64:
+    """Product of two numbers in 64 bits."""
+    return np.uint64(factor * by % (1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -121,12 +127,12 @@ def levels(element, count, owner, deadline, todo):
         here = (count > low) & todo[owner]
         if not here.any():
             break
-        seed = mix(element[here] + np.uint64(level + 1) * np.uint64(0xD6E8FEB86659FD93))
+        seed = mix(element[here] + times(level + 1, 0xD6E8FEB86659FD93))
         who, most = owner[here], count[here]
         time = np.zeros(len(seed))
-        turn = np.uint64(1)
+        turn = 1
         while len(seed):
-            draw = mix(seed + turn * GOLD)
+            draw = mix(seed + times(turn))
             time = time - np.log(unit(draw)) / (m * width)
             early = time <= deadline[who]
             seed, who, most, time, draw = seed[early], who[early], most[early], time[early], draw[early]
@@ -134,7 +140,7 @@ def levels(element, count, owner, deadline, todo):
             register = ((place >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
             inside = low + width * unit(mix(draw + np.uint64(2))) <= most
             yield (who[inside] * m + register[inside].astype(np.int64), time[inside], draw[inside])
-            turn += np.uint64(1)
+            turn += 1
         level, low, width = level + 1, low + width, max(1, low + width)
 
 
