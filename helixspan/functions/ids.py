@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def whole(text: Column) -> Column:
+    """Integer in a text; decimals, as in ``12345.0``, are cut off, other texts become null."""
+    return F.regexp_replace(text, r"^\s*([+-]?[0-9]+)\.[0-9]*\s*$", "$1").try_cast("int")
+
+
 def strip_chr(chrom: Column) -> Column:
     return F.regexp_replace(chrom, "^chr", "")
 
@@ -14,7 +19,7 @@ def variant_parts(variant: Column, separator: str) -> dict[str, Column]:
     pieces = F.split(variant, separator)
     return {
         "chrom": strip_chr(F.get(pieces, F.lit(0))),
-        "pos": F.get(pieces, F.lit(1)).try_cast("int"),
+        "pos": whole(F.get(pieces, F.lit(1))),
         "ref": F.get(pieces, F.lit(2)),
         "alt": F.get(pieces, F.lit(3)),
     }
@@ -61,6 +66,12 @@ def file_prefix(path: Column, marker: str) -> Column:
     return F.substring_index(base_name(path), marker, 1)
 
 
+def clean_path(path: Column) -> Column:
+    """A path as Spark reports it, without encoding and without the scheme of local files."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "/")
+
+
 def parent_folder(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 
@@ -76,7 +87,7 @@ def path_segment(path: Column, index: int) -> Column:
 
 def study_of_output(path: Column) -> Column:
     """Study id of ``.../<study>.parquet/_SUCCESS`` or ``.../<study>.parquet``."""
-    return F.regexp_extract(path, r"/(\w+)\.parquet", 1)
+    return F.regexp_extract(path, r"/([^/]+)\.parquet(?:/|$)", 1)
 
 
 def data_type_of_path(path: Column) -> Column:

@@ -12,14 +12,27 @@ from helixspan.session import hand_over
 VARIANT = ("chrom", "pos", "ref", "alt")
 
 
-def panel_sites(panel: DataFrame, build: str = "b38", keep: Sequence[str] = ()) -> DataFrame:
-    """(chrom, pos, ref, alt, gnomad_nfe and ``keep``), one row per variant, nulls left out.
-
-    Only one field of the nested ``af`` struct is read. The table is written down: it
-    serves several joins, and a join whose other side is a plain scan is one that
-    AQE can split when very many rows share a variant.
+def panel_sites(
+    panel: DataFrame,
+    build: str = "b38",
+    keep: Sequence[str] = (),
+    known_only: bool = True,
+    wanted: DataFrame | None = None,
+) -> DataFrame:
+    """(chrom, pos, ref, alt, gnomad_nfe and ``keep``), one row per variant.
+
+    Variants without a frequency are left out unless ``known_only`` is false: where the
+    panel only gives alleles and positions they take part, and are counted as tests.
+    ``wanted`` has the only variants to be looked up. Only one field of the nested ``af``
+    struct is read. The table is written down: it serves several joins, and a join whose
+    other side is a plain scan is one that AQE can split when very many rows share a
+    variant. A panel that ``jobs.prepare_panel`` wrote has this form already and is taken
+    as it is.
     """
     values = ["gnomad_nfe", *keep]
+    if set(panel.columns) >= {*VARIANT, *values}:
+        ready = panel.select(*VARIANT, *values)
+        return ready.dropna(subset=["gnomad_nfe"]) if known_only else ready
     known = panel.select(
         F.col(f"chrom_{build}").alias("chrom"),
         F.col(f"pos_{build}").alias("pos"),
@@ -27,12 +40,15 @@ def panel_sites(panel: DataFrame, build: str = "b38", keep: Sequence[str] = ())
         "alt",
         F.col("af.gnomad_nfe").alias("gnomad_nfe"),
         *keep,
-    ).dropna(subset=[*VARIANT, "gnomad_nfe"])
+    ).dropna(subset=[*VARIANT, *["gnomad_nfe"] * known_only])
+    if wanted is not None:
+        known = known.join(wanted.select(*VARIANT).distinct(), list(VARIANT), "left_semi")
     if not keep:
         once = known.groupBy(*VARIANT).agg(F.min("gnomad_nfe").alias("gnomad_nfe"))
     else:
-        grouped = known.groupBy(*VARIANT).agg(F.min(F.struct(*values)).alias("_site"))
-        once = grouped.select(*VARIANT, "_site.*")
+        first = F.min(F.struct(F.col("gnomad_nfe").isNull().alias("_unknown"), *values))
+        grouped = known.groupBy(*VARIANT).agg(first.alias("_site"))
+        once = grouped.select(*VARIANT, "_site.*").drop("_unknown")
     return hand_over(once, "panel")
 
 

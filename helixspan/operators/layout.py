@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 # Columns that separate rows at one position; they only decide ties.
-_TIE_BREAK = ("study_id", "phenotype_id", "bio_feature", "ref", "alt")
+_TIE_BREAK = ("study_id", "phenotype_id", "bio_feature", "ref", "alt", "variant_id")
+# Names that chromosome and position have in unified and exported tables.
+_PLACES = ("chrom", "pos", "chromosome", "base_pair_location")
 
 
 def by_position(
@@ -27,11 +29,15 @@ def by_position(
 def by_folder_and_position(df: DataFrame, folders: list[str]) -> DataFrame:
     """Layout for folder-partitioned output: folder columns lead the range order.
 
-    A task then writes few folders, and a large folder is shared by several tasks.
+    A task then writes few folders, and a large folder is shared by several tasks. Tables
+    without a position are cut by a hash of the row instead.
     """
     ties = [c for c in _TIE_BREAK if c in df.columns]
-    order = list(dict.fromkeys([*folders, "chrom", "pos"]))
+    place = [c for c in _PLACES if c in df.columns]
+    order = list(dict.fromkeys([*folders, *place]))
     bounds = list(dict.fromkeys([*order, *ties]))
+    if not place:
+        return df.repartitionByRange(*folders, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
     return df.repartitionByRange(*bounds).sortWithinPartitions(*order)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from helixspan.functions import stats
 from helixspan.session import hand_over
@@ -63,8 +63,15 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.unpivot([], list(df.columns), "column_name", "nulls")
 
 
-def qc_report(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Rows left and removed after each step, in one pass.
+def present(value: Column) -> Column:
+    """Neither null nor NaN, as ``complete`` sees it."""
+    return value.isNotNull() & ~F.coalesce(F.isnan(value.try_cast("double")), F.lit(False))
+
+
+def qc_counts(
+    df: DataFrame, steps: Sequence[tuple[str, Column]], by: Sequence[str] = ()
+) -> DataFrame:
+    """(by, step_no, step, n_rows): rows left after each step, in one pass.
 
     ``steps`` are (name, predicate) pairs that apply one after the other. All
     counters come from a single aggregate instead of one count per step.
@@ -72,23 +79,62 @@ def qc_report(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
     passed = [F.lit(True)]
     for _, predicate in steps:
         passed.append(passed[-1] & F.coalesce(predicate, F.lit(False)))
-    left = [F.count_if(flag) for flag in passed]
     rows = [
         F.struct(
             F.lit(number).alias("step_no"),
             F.lit(name).alias("step"),
-            left[number].alias("n_rows"),
-            (left[max(number - 1, 0)] - left[number]).alias("removed"),
-            F.round(
-                F.try_divide(
-                    (left[max(number - 1, 0)] - left[number]) * F.lit(100.0), left[0]
-                ),
-                2,
-            ).alias("removed_pct"),
+            F.count_if(flag).alias("n_rows"),
+        )
+        for number, (name, flag) in enumerate(
+            zip(["input", *[name for name, _ in steps]], passed, strict=True)
         )
-        for number, name in enumerate(["input", *[name for name, _ in steps]])
     ]
-    return df.agg(F.array(*rows).alias("steps")).select(F.inline("steps"))
+    return df.groupBy(*by).agg(F.array(*rows).alias("steps")).select(*by, F.inline("steps"))
+
+
+def with_removed(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts with the rows each step removed, also in percent of the input."""
+    along = Window.partitionBy(*by).orderBy("step_no")
+    before = F.coalesce(F.lag("n_rows").over(along), F.col("n_rows"))
+    share = F.try_divide((before - F.col("n_rows")) * F.lit(100.0), F.first("n_rows").over(along))
+    return counts.withColumns(
+        {"removed": before - F.col("n_rows"), "removed_pct": F.round(share, 2)}
+    )
+
+
+def qc_report(
+    df: DataFrame, steps: Sequence[tuple[str, Column]], by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows left and removed after each step, for all rows or per group."""
+    return with_removed(qc_counts(df, steps, by), by)
+
+
+def gate_step(
+    counts: DataFrame, after: str, minimum: int, name: str, by: Sequence[str] = ("study_id",)
+) -> DataFrame:
+    """Report of counts per study, with a step that removes studies that are too small.
+
+    The table has a few rows per study.
+    """
+    keys = [F.col(c) for c in by]
+    gate = counts.where(F.col("step") == after).select(
+        *keys, F.col("step_no").alias("_at"), (F.col("n_rows") >= minimum).alias("_enough")
+    )
+    joined = counts.join(gate, list(by))
+    later = F.col("step_no") > F.col("_at")
+    shifted = joined.select(
+        *keys,
+        (F.col("step_no") + later.cast("int")).alias("step_no"),
+        "step",
+        F.when(later & ~F.col("_enough"), 0).otherwise(F.col("n_rows")).alias("n_rows"),
+    )
+    own = joined.where("step_no = _at").select(
+        *keys,
+        (F.col("step_no") + 1).alias("step_no"),
+        F.lit(name).alias("step"),
+        F.when(F.col("_enough"), F.col("n_rows")).otherwise(0).alias("n_rows"),
+    )
+    return with_removed(shifted.unionByName(own), by)
 
 
 def violations(df: DataFrame, rules: Sequence[tuple[str, Column]], unique: str | None = None):

@@ -9,27 +9,27 @@ from pyspark.sql import DataFrame, functions as F
 from helixspan.functions import ids, text
 from helixspan.operators import combine
 
-# Phenotype codes left out of biobank work lists, with their topic.
+# Phenotype codes left out of biobank work lists.
 BIOBANK_EXCLUDED = [
-    "NEALE2_20024_",  # job codes
-    "NEALE2_22601_",  # job codes
-    "NEALE2_22617_",  # job codes
-    "NEALE2_22660_",  # job codes
-    "NEALE2_22650_",  # job codes
-    "NEALE2_6142_",  # job codes
-    "NEALE2_20079_",  # day of week of the questionnaire
-    "NEALE2_20118_",  # home area
-    "NEALE2_41248_",  # hospital discharge destination
-    "NEALE2_20090_",  # foods
-    "NEALE2_20095_",  # wine
-    "NEALE2_2654_",  # butter
-    "NEALE2_6144_",  # eggs
-    "NEALE2_3446_",  # tobacco type
-    "NEALE2_6141_",  # relatedness
-    "NEALE2_6140_",  # type of heating
-    "NEALE2_6160_",  # social activities
-    "NEALE2_670_",  # accommodation
-    "NEALE2_680_",  # accommodation
+    "NEALE2_20024_",
+    "NEALE2_22601_",
+    "NEALE2_22617_",
+    "NEALE2_22660_",
+    "NEALE2_22650_",
+    "NEALE2_6142_",
+    "NEALE2_20079_",
+    "NEALE2_20118_",
+    "NEALE2_41248_",
+    "NEALE2_20090_",
+    "NEALE2_20095_",
+    "NEALE2_2654_",
+    "NEALE2_6144_",
+    "NEALE2_3446_",
+    "NEALE2_6141_",
+    "NEALE2_6140_",
+    "NEALE2_6160_",
+    "NEALE2_670_",
+    "NEALE2_680_",
 ]
 
 
@@ -53,7 +53,8 @@ def add_ancestries(df: DataFrame, description: str = "sample_info") -> DataFrame
 
 def merge_metadata(current: DataFrame, previous: DataFrame, done: DataFrame) -> DataFrame:
     """Carry curation notes over, append studies that vanished, mark finished ones."""
-    notes = previous.select("study_id", "note")
+    # A study noted twice keeps one note; rows are never multiplied.
+    notes = previous.groupBy("study_id").agg(F.min("note").alias("note"))
     merged = current.join(notes, "study_id", "left")
     gone = combine.missing_rows(notes, current)
     everything = merged.unionByName(gone, allowMissingColumns=True)

@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from helixspan.operators import combine, qc, windows
-from helixspan.operators.layout import by_position
 from helixspan.schema import as_type_id, drop_molecular_keys
 from helixspan.sources import sinks
 
@@ -52,15 +51,11 @@ def significant_windows(
     kept, intervals = windows.extract_windows(rows, width, data_type, pval)
     if intervals_out:
         sinks.write_intervals(intervals, intervals_out)
-    partitions = windows.partition_plan(intervals).first()["n_partitions"]
     if data_type == "gwas":
+        partitions = windows.partition_plan(intervals).first()["n_partitions"]
         sinks.write_by_position(kept, out, partitions)
     else:
-        (
-            by_position(kept, partitions)
-            .write.partitionBy("bio_feature", "chrom")
-            .parquet(out, mode="overwrite", compression="snappy")
-        )
+        sinks.write_by_folder(kept, out)
 
 
 def union_datasets(gwas: DataFrame, molecular: Iterable[DataFrame]) -> DataFrame:

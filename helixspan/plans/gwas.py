@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from helixspan.functions import stats
 from helixspan.operators import harmonise, qc
 from helixspan.schema import GWAS_SCHEMA, conform
-from helixspan.session import hand_over
+from helixspan.session import hand_over, tidy
 from helixspan.sources import readers, sinks
 
 # Columns a usable row must have before frequencies are filled in.
@@ -57,7 +57,8 @@ def standardise(
     complete = qc.complete(effects, [c for c in REQUIRED if c != "se"])
     usable = hand_over(complete.where(stats.has_or_gets_se()), "usable-rows")
     gated = qc.min_rows_gate(usable, min_rows)
-    filled = qc.complete(harmonise.fill_eaf(gated, harmonise.panel_sites(panel)), ["eaf"])
+    sites = harmonise.panel_sites(panel, wanted=gated.where(F.col("eaf").isNull()))
+    filled = qc.complete(harmonise.fill_eaf(gated, sites), ["eaf"])
     return _finish(stats.impute_se(filled), studies, min_mac)
 
 
@@ -70,33 +71,67 @@ def standardise_complete(
 
 
 def qc_steps(min_mac: float = 10) -> list[tuple[str, Column]]:
-    """Row checks of the ingest as report steps (over rows with filled columns)."""
+    """Row checks of the ingest as report steps (over rows with filled columns).
+
+    The predicates are those of the filters: a NaN is as missing as a null.
+    """
     enough = (F.col("mac") >= min_mac) & (
         (F.col("mac_cases") >= min_mac) | F.col("mac_cases").isNull()
     )
     return [
-        ("required columns", qc.all_of([F.col(c).isNotNull() for c in REQUIRED])),
-        ("allele frequency", F.col("eaf").isNotNull()),
+        ("required columns", qc.all_of([qc.present(F.col(c)) for c in REQUIRED])),
+        ("allele frequency", qc.present(F.col("eaf"))),
         ("minor allele count", enough),
     ]
 
 
-def _unsplit(path: Column) -> Column:
-    """Path as manifests write it: no scheme for local files, pieces as one glob."""
-    local = F.regexp_replace(path, "^file:/+", "/")
-    return F.regexp_replace(local, r"\.split[0-9]+\.", ".split*.")
+def ingest_report(
+    rows: DataFrame,
+    studies: DataFrame,
+    panel: DataFrame | None,
+    min_rows: int = 10000,
+    min_mac: float = 10,
+) -> DataFrame:
+    """Per study the rows left and removed by each step of the ingest, from one aggregate.
+
+    Studies below ``min_rows`` usable rows lose all rows in the step ``enough rows``.
+    """
+    effects = stats.odds_to_effect(rows) if panel is not None else rows
+    if panel is not None:
+        effects = stats.impute_se(effects)
+        missing = effects.where(F.col("eaf").isNull())
+        effects = harmonise.fill_eaf(effects, harmonise.panel_sites(panel, wanted=missing))
+    sizes = studies.select("study_id", F.col("n_total").cast("int"), F.col("n_cases").cast("int"))
+    counted = qc.add_gwas_counts(effects.join(hand_over(sizes, "study-sizes"), "study_id", "left"))
+    required, frequency, enough = qc_steps(min_mac)
+    if panel is None:  # complete deliveries need a frequency from the start
+        required = (required[0], required[1] & frequency[1])
+    steps = qc.qc_counts(counted, [required, frequency, enough], ["study_id"])
+    return qc.gate_step(steps, after=required[0], minimum=min_rows, name="enough rows")
 
 
 def read_studies(
-    spark: SparkSession, manifest: DataFrame, columns: Mapping[str, tuple[str, str]]
+    spark: SparkSession,
+    manifest: DataFrame,
+    columns: Mapping[str, tuple[str, str]],
+    confident: bool = False,
 ) -> DataFrame:
-    """All input files of a manifest, each row with the study of its file."""
-    paths = [row["in_tsv"] for row in manifest.select("in_tsv").toLocalIterator()]
+    """All input files of a manifest, each row with the study of its line.
+
+    A line may be a file, a folder or a glob. A line without any file fails the job.
+    """
+    lines = manifest.select(F.col("in_tsv").alias("line"), "study_id").distinct()
+    paths = [row["line"] for row in lines.select("line").distinct().toLocalIterator()]
+    headers = readers.header_lines(spark, paths)
+    files = hand_over(readers.files_of_lines(headers.select("file_path"), lines), "input-files")
+    lost = [r["line"] for r in lines.join(files, "line", "left_anti").select("line").limit(20).collect()]
+    if lost:
+        raise ValueError(f"no input rows for these manifest lines (at most 20 shown): {lost}")
     rows = readers.read_mapped_by_header(
-        spark, paths, columns, {"in_tsv": _unsplit(readers.source_file())}
+        spark, paths, columns, {"in_tsv": readers.source_file()}, confident, headers=headers
     )
-    files = manifest.select(_unsplit(F.col("in_tsv")).alias("in_tsv"), "study_id")
-    return rows.join(hand_over(files, "input-files"), "in_tsv").drop("in_tsv")
+    owners = files.join(lines, "line").select(F.col("file_path").alias("in_tsv"), "study_id")
+    return rows.join(hand_over(owners.distinct(), "owners"), "in_tsv").drop("in_tsv")
 
 
 def ingest(
@@ -107,15 +142,27 @@ def ingest(
     columns: Mapping[str, tuple[str, str]] = readers.HARMONISED_GWAS,
     min_rows: int = 10000,
     min_mac: float = 10,
+    confident: bool = False,
+    log: str | None = None,
 ) -> None:
-    """Manifest to Parquet, one folder per study, ordered by position inside."""
-    rows = read_studies(spark, manifest, columns)
-    result = (
-        standardise(rows, manifest, panel, min_rows, min_mac)
-        if panel is not None
-        else standardise_complete(rows, manifest, min_rows, min_mac)
-    )
-    sinks.write_by_folder(result, out, ["study_id"])
+    """Manifest to Parquet, one folder per study, ordered by position inside.
+
+    ``confident`` drops low-confidence variants; ``log`` is a path for the quality report
+    per study. Intermediate tables are removed at the end.
+    """
+    with tidy(spark):
+        rows = read_studies(spark, manifest, columns, confident)
+        if log:
+            rows = hand_over(rows, "rows")
+        result = (
+            standardise(rows, manifest, panel, min_rows, min_mac)
+            if panel is not None
+            else standardise_complete(rows, manifest, min_rows, min_mac)
+        )
+        sinks.write_by_folder(result, out, ["study_id"])
+        if log:
+            report = ingest_report(rows, manifest, panel, min_rows, min_mac)
+            sinks.write_result_table(report, log, sep="\t")
 
 
 def panel_subset(panel: DataFrame, chroms: list[str], column: str = "chrom_b38") -> DataFrame:

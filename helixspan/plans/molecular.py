@@ -55,14 +55,15 @@ def eqtl(rows: DataFrame, min_mac: float = 5, **constants) -> DataFrame:
         stats.samples_from_alleles(F.col("an")).alias("n_total"),
         stats.minor_count_from_alleles(F.col("ac"), F.col("an")).alias("mac"),
     )
-    frequent = qc.min_count(named, "mac", min_mac)
+    # The delivery is unsplittable text: it is parsed once, and counted from this copy.
+    frequent = hand_over(qc.min_count(named, "mac", min_mac), "frequent")
     tested = qtl.add_num_tests(frequent, [*SCOPE, "phenotype_id"])
     return conform(with_constants(tested, type="eqtl", is_cc=False), QTL_SCHEMA)
 
 
 def eqtl_from_z(rows: DataFrame, panel: DataFrame, min_mac: float = 5, **constants) -> DataFrame:
     """Expression QTLs given as z-scores in the old build."""
-    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"])
+    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"], known_only=False)
     matched = hand_over(harmonise.align_alleles(rows, sites), "aligned")
     aligned = harmonise.orient(matched, "z")
     z, eaf, n = F.col("z"), F.col("gnomad_nfe"), F.col("n_total")
@@ -122,11 +123,14 @@ def tissue_sqtl(
         **ids.junction_parts(F.col("phenotype_id")),
         **constants,
     )
-    sites = harmonise.panel_sites(panel, "b38")
-    best = qtl.best_junction_table(harmonise.in_panel(parsed, sites), SCOPE, "pval_nominal")
-    # The selection is small, so it comes before the second join with the panel.
-    chosen = parsed.join(best, [*SCOPE, "phenotype_id"])
-    return _finish(_from_panel_minor(harmonise.in_panel(chosen, sites)), "sqtl")
+    narrow = parsed.select(
+        *SCOPE, "phenotype_id", "splicing_cluster", "gene_id", *harmonise.VARIANT,
+        "ma_count", "maf", "pval_nominal", "slope", "slope_se",
+    )
+    # One scan and one join with the panel serve the selection and the selected rows.
+    known = hand_over(harmonise.in_panel(narrow, harmonise.panel_sites(panel)), "known")
+    chosen = qtl.best_junctions(known, SCOPE, "pval_nominal")
+    return _finish(_from_panel_minor(chosen), "sqtl")
 
 
 def aligned_pqtl(
@@ -148,7 +152,7 @@ def aligned_pqtl(
     near = hand_over(
         qtl.cis_rows(upper, gene_map, ["phenotype_id", "chrom"], distance), "cis-rows"
     )
-    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"])
+    sites = harmonise.panel_sites(panel, "b37", ["chrom_b38", "pos_b38"], known_only=False)
     aligned = harmonise.orient(harmonise.align_alleles(near, sites), "beta")
     tested = qtl.add_num_tests(
         aligned.withColumn("eaf", F.col("gnomad_nfe")), [*SCOPE, "phenotype_id"]
@@ -171,7 +175,8 @@ def harmonised_pqtl(
     near = hand_over(qtl.cis_rows(named, gene_map, ["file_name", "chrom"], distance), "cis-rows")
     if "z" in near.columns:
         near = near.withColumn("se", stats.se_from_z(F.col("beta"), F.col("z")))
-    filled = qc.complete(harmonise.fill_eaf(near, harmonise.panel_sites(panel)), ["eaf"])
+    sites = harmonise.panel_sites(panel, wanted=near.where(F.col("eaf").isNull()))
+    filled = qc.complete(harmonise.fill_eaf(near, sites), ["eaf"])
     tested = qtl.add_num_tests(filled, [*SCOPE, "gene_id"])
     counted = _count_alleles(tested, min_mac)
     return _finish(counted.withColumn("phenotype_id", F.col("gene_id")), "pqtl")

@@ -8,6 +8,13 @@ from helixspan.functions import ids, text
 from helixspan.operators import combine, qc, studies
 
 
+def available_studies(paths: DataFrame) -> DataFrame:
+    """Delivered files with the study of their folder."""
+    return paths.withColumn("study_id", ids.path_segment(F.col("gwascat_path"), 2)).where(
+        F.col("study_id").startswith("GCST")
+    )
+
+
 def metadata_table(
     paths: DataFrame, study_table: DataFrame, previous: DataFrame, completed: DataFrame
 ) -> DataFrame:
@@ -17,11 +24,8 @@ def metadata_table(
     pmid, trait and sample_info, ``previous`` the notes of the last curation and
     ``completed`` finished outputs.
     """
-    available = paths.withColumn("study_id", ids.path_segment(F.col("gwascat_path"), 2)).where(
-        F.col("study_id").startswith("GCST")
-    )
     described = studies.add_sample_sizes(
-        qc.complete(available.join(study_table, "study_id", "left"))
+        qc.complete(available_studies(paths).join(study_table, "study_id", "left"))
     )
     unique = combine.drop_repeated_ids(described)
     done = completed.select(ids.accession(F.col("path")).alias("study_id"))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from helixspan import schema
 from helixspan.functions import ids
-from helixspan.operators import layout, windows
-from helixspan.plans import extract, gwas
+from helixspan.operators import layout, qtl, windows
+from helixspan.plans import exports, extract, gwas, jobs
 from helixspan.registry.core import query
 from helixspan.registry.filters import _MERGED, _NEAR, P_WINDOW, WIDTH, _gwas_table, _hits, _qtl_table
 from helixspan.registry.views import Tables
@@ -29,8 +29,11 @@ def _harmonised(t: Tables, *without: str) -> DataFrame:
         cast(NULL AS double) AS info FROM v_gwas"""
 )
 def tsv_mapped(t: Tables) -> DataFrame:
+    """Some positions are delivered as decimal numbers."""
     path = scratch_path(t.spark, "mapped")
-    sinks.write_export(_harmonised(t), path)
+    text = F.col("hm_pos").cast("string")
+    decimal = F.when(F.col("hm_pos") % 3 == 0, F.concat(text, F.lit(".0"))).otherwise(text)
+    sinks.write_export(_harmonised(t).withColumn("hm_pos", decimal), path)
     return readers.read_mapped_tsv(t.spark, path, readers.HARMONISED_GWAS)
 
 
@@ -70,13 +73,22 @@ def tsv_by_header(t: Tables) -> DataFrame:
     return rows.select("chrom", "pos", "ref", "alt", "pval", "beta", "se", "oddsr", "eaf", "folder")
 
 
-@query("SELECT * FROM (VALUES (10, 1), (8, 1)) v(n_columns, n_headers)")
+@query(
+    """SELECT column_name, count(*) AS n_files FROM (
+        SELECT concat('chrom', chrom) AS column_name FROM v_gwas GROUP BY chrom
+        UNION ALL SELECT 'pos' FROM v_gwas GROUP BY chrom) c GROUP BY column_name"""
+)
 def header_groups(t: Tables) -> DataFrame:
-    path = _two_headers(t)
-    groups = readers.header_groups(readers.header_lines(t.spark, [f"{path}/a", f"{path}/b"]))
-    return groups.groupBy(F.size(F.split("header", "\t")).alias("n_columns")).agg(
-        F.count(F.lit(1)).cast("int").alias("n_headers")
-    )
+    """One file per chromosome, each with a header of its own, audited by column."""
+    path = scratch_path(t.spark, "audit")
+    chroms = [r["chrom"] for r in t.view("v_gwas").select("chrom").distinct().collect()]
+    for chrom in chroms:
+        rows = t.view("v_gwas").where(F.col("chrom") == chrom)
+        named = rows.select(F.col("chrom").alias(f"chrom{chrom}"), "pos")
+        sinks.write_result_table(named.coalesce(1), f"{path}/{chrom}", sep="\t")
+    groups = readers.header_groups(readers.header_lines(t.spark, f"{path}/*"))
+    names = groups.select(F.explode(F.split("header", "\t")).alias("column_name"), "n_files")
+    return names.groupBy("column_name").agg(F.sum("n_files").alias("n_files"))
 
 
 @query(
@@ -126,6 +138,15 @@ def export_by_phenotype(t: Tables) -> DataFrame:
     return rows.select(phenotype.alias("phenotype"), "snpid", "ac", "sebeta")
 
 
+@query("SELECT study_id, chrom, pos, ref, alt, pval FROM v_gwas")
+def parquet_whole(t: Tables) -> DataFrame:
+    """Everything written in position order is read back."""
+    path = scratch_path(t.spark, "whole")
+    sinks.write_by_position(_gwas_table(t), path, 8)
+    rows = readers.read_parquet(t.spark, path, schema.GWAS_SCHEMA)
+    return rows.select("study_id", "chrom", "pos", "ref", "alt", "pval")
+
+
 @query("SELECT study_id, chrom, pos, ref, alt, pval FROM v_gwas WHERE chrom = '3' AND pos >= 1000")
 def parquet_by_position(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "positions")
@@ -136,7 +157,7 @@ def parquet_by_position(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT bio_feature, chrom, phenotype_id, pos, pval FROM v_qtl WHERE chrom = '2'")
+@query("SELECT bio_feature, chrom, phenotype_id, pos, pval FROM v_qtl")
 def parquet_by_folder(t: Tables) -> DataFrame:
     """Written twice, one tissue at a time and once more, without doubling any row."""
     path = scratch_path(t.spark, "folders")
@@ -144,7 +165,7 @@ def parquet_by_folder(t: Tables) -> DataFrame:
     sinks.write_by_folder(table, path)
     sinks.write_by_folder(table.where("bio_feature = 'F'"), path)
     rows = readers.read_parquet(t.spark, path, schema.QTL_SCHEMA)
-    return rows.where("chrom = '2'").select("bio_feature", "chrom", "phenotype_id", "pos", "pval")
+    return rows.select("bio_feature", "chrom", "phenotype_id", "pos", "pval")
 
 
 @query(
@@ -167,13 +188,13 @@ def parquet_many_sets(t: Tables) -> DataFrame:
 
 @query(
     """SELECT study_id AS col_study_id, bio_feature, chrom, pos, cast(ma_count AS int) AS mac
-    FROM v_qtl WHERE study_id = 'QA'"""
+    FROM v_qtl"""
 )
 def parquet_by_study(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "studies")
     sinks.write_by_study(_qtl_table(t), path)
     rows = readers.read_parquet(t.spark, path)
-    return rows.where("col_study_id = 'QA'").select(
+    return rows.select(
         "col_study_id", "bio_feature", F.col("chrom").cast("string"), "pos", "mac"
     )
 
@@ -242,6 +263,109 @@ def window_job(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """WITH tests AS (SELECT study_id, bio_feature, phenotype_id, count(pval) AS n
+        FROM v_qtl GROUP BY 1, 2, 3),
+    rated AS (SELECT q.*, CASE WHEN q.pval <= 0.05e0 / n THEN 1 ELSE 0 END AS hit
+        FROM v_qtl q JOIN tests USING (study_id, bio_feature, phenotype_id)),
+    framed AS (SELECT *, max(hit) OVER (
+        PARTITION BY study_id, phenotype_id, bio_feature, chrom ORDER BY pos
+        RANGE BETWEEN 5000 PRECEDING AND 5000 FOLLOWING) AS near_hit FROM rated)
+    SELECT study_id, phenotype_id, bio_feature, chrom, pos, pval FROM framed WHERE near_hit = 1"""
+)
+def window_job_molecular(t: Tables) -> DataFrame:
+    """The window job on molecular rows, all folders read back."""
+    out = scratch_path(t.spark, "molecular-windows")
+    tested = qtl.add_num_tests(
+        _qtl_table(t).drop("num_tests"), ["study_id", "bio_feature", "phenotype_id"]
+    )
+    extract.significant_windows(tested, f"{out}/rows", None, "molecular_trait", WIDTH)
+    rows = readers.read_parquet(t.spark, f"{out}/rows", schema.QTL_SCHEMA)
+    return rows.select("study_id", "phenotype_id", "bio_feature", "chrom", "pos", "pval")
+
+
+@query(
+    """SELECT phenotype, variant_id, cast("AC" AS double) AS "AC", minor, cases, info FROM (
+        SELECT l.phenotype, r.rsid AS variant_id, l."AC", r.info,
+            CASE WHEN g = 1 THEN l.pval END AS minor, CASE WHEN g = 0 THEN l.pval END AS cases
+        FROM (SELECT *, cast(substr(phenotype, 2) AS int)%3 AS g FROM v_linear) l
+        JOIN v_rsid r ON l.variant = concat(r.chr, ':', cast(r.pos AS varchar), ':', r.ref, ':', r.alt)
+        WHERE l.phenotype IN (SELECT phenotype FROM v_phenotype)) t"""
+)
+def linear_export_job(t: Tables) -> DataFrame:
+    """Result files in three layouts, found by column name, to exports and back.
+
+    A third of the phenotypes has one expected allele count, a third the other one, and a
+    third none; the column orders differ as well.
+    """
+    root = scratch_path(t.spark, "linear")
+    rows = t.view("v_linear").withColumn("g", F.substring("phenotype", 2, 20).cast("int") % 3)
+    base = ["variant", "n_complete_samples", "AC", "beta", "se", "pval"]
+    extra = {0: "expected_case_minor_AC", 1: "expected_min_category_minor_AC", 2: None}
+    for group, name in extra.items():
+        columns = [*base[:1], *([name] if name else []), *(reversed(base[1:]) if group else base[1:])]
+        named = rows.where(F.col("g") == group)
+        if name:
+            named = named.withColumn(name, F.col("pval"))
+        sinks.write_export(named.select("phenotype", *columns), f"{root}/in{group}", "phenotype")
+    t.view("v_rsid").write.parquet(f"{root}/variants")
+    rows = readers.read_mapped_by_header(
+        t.spark,
+        f"{root}/in*/phenotype=*",
+        jobs.same_names(jobs.LINEAR_ROWS),
+        {"phenotype": F.regexp_extract(readers.source_file(), "phenotype=([^/]*)/", 1)},
+    )
+    result = exports.linear_model_export(
+        rows, readers.read_parquet(t.spark, f"{root}/variants"), t.view("v_phenotype")
+    )
+    sinks.write_export(result, f"{root}/out", "phenotype")
+    back = readers.read_mapped_by_header(
+        t.spark,
+        f"{root}/out/phenotype=*",
+        {"variant_id": ("variant_id", "string"), "AC": ("AC", "double"), "info": ("info", "double"),
+         "expected_min_category_minor_AC": ("minor", "double"),
+         "expected_case_minor_AC": ("cases", "double")},
+        {"phenotype": F.regexp_extract(readers.source_file(), "phenotype=([^/]*)/", 1)},
+    )
+    return back.select("phenotype", "variant_id", F.round("AC", 6).alias("AC"), "minor", "cases", "info")
+
+
+@query(
+    """WITH sized AS (SELECT study_id, se, eaf, 4000 * CASE WHEN eaf <= 0.5e0 THEN eaf ELSE 1e0-eaf END
+        AS mac FROM v_gwas),
+    counts AS (SELECT study_id, count(*) AS n0,
+        count_if(se IS NOT NULL AND eaf IS NOT NULL) AS n1,
+        count_if(se IS NOT NULL AND eaf IS NOT NULL AND mac >= 10) AS n3 FROM sized GROUP BY 1),
+    gated AS (SELECT study_id, n0, n1, CASE WHEN study_id = 'GCSTR' THEN 0 ELSE n1 END AS n2,
+        CASE WHEN study_id = 'GCSTR' THEN 0 ELSE n3 END AS n3 FROM counts)
+    SELECT study_id, cast(step_no AS int) AS step_no, cast(n AS bigint) AS n_rows,
+        cast(removed AS bigint) AS removed FROM (
+        SELECT study_id, 0 AS step_no, n0 AS n, 0 AS removed FROM gated
+        UNION ALL SELECT study_id, 1, n1, n0 - n1 FROM gated
+        UNION ALL SELECT study_id, 2, n2, n1 - n2 FROM gated
+        UNION ALL SELECT study_id, 3, n2, 0 FROM gated
+        UNION ALL SELECT study_id, 4, n3, n2 - n3 FROM gated) t"""
+)
+def ingest_report(t: Tables) -> DataFrame:
+    """Quality steps per study: missing errors as NaN, and one study too small to go on."""
+    rows = t.view("v_gwas").drop("phenotype_id", "bio_feature", "gene_id", "oddsr", "oddsr_lower")
+    odd = rows.withColumn(
+        "se", F.when(F.col("pos") % 2 == 0, F.coalesce("se", F.lit(float("nan")))).otherwise(F.col("se"))
+    )
+    usable = rows.where("se IS NOT NULL AND eaf IS NOT NULL").groupBy("study_id").count()
+    small = {r["study_id"]: r["count"] for r in usable.collect()}
+    studies = rows.select("study_id").distinct().withColumns(
+        {"n_total": F.lit(2000), "n_cases": F.lit(None).cast("int")}
+    )
+    # Everything but one study stays above a limit that only that study misses.
+    kept = odd.where("study_id <> 'GCSTR'")
+    others = gwas.ingest_report(kept, studies, None, min_rows=1)
+    tiny = gwas.ingest_report(
+        odd.where("study_id = 'GCSTR'"), studies, None, min_rows=small.get("GCSTR", 0) + 1
+    )
+    return others.unionByName(tiny).select("study_id", "step_no", "n_rows", "removed")
+
+
 @query(
     """SELECT study_id, chrom, pos, ref, alt, beta, se, pval, n_total, eaf, is_cc FROM (
         SELECT study_id, chrom, pos, ref, alt, beta, se, pval, eaf,
@@ -251,16 +375,21 @@ def window_job(t: Tables) -> DataFrame:
     WHERE mac >= 10"""
 )
 def ingest_job(t: Tables) -> DataFrame:
-    """Manifest to finished Parquet, with one folder of input files per study."""
+    """Manifest to finished Parquet: a folder, a glob and an odd file name per study."""
     root = scratch_path(t.spark, "ingest")
     columns = ["study_id", "#chrom", "pos", "ref", "alt", "pval", "beta", "sebeta", "af_alt"]
     delivered = t.view("v_gwas").withColumnsRenamed(
         {"chrom": "#chrom", "se": "sebeta", "eaf": "af_alt"}
     )
-    sinks.write_export(delivered.select(*[f"`{c}`" for c in columns]), f"{root}/in", "study_id")
-    files = readers.header_lines(t.spark, f"{root}/in/study_id=*").select(
-        F.col("file_path").alias("in_tsv"),
-        F.regexp_extract("file_path", "study_id=([^/]*)/", 1).alias("study_id"),
+    named = delivered.select(*[f"`{c}`" for c in columns])
+    sinks.write_export(named.where("study_id <> 'GCSTR'"), f"{root}/in", "study_id")
+    sinks.write_export(named.where("study_id = 'GCSTR'").drop("study_id"), f"{root}/in/odd 100%/part+1")
+    place = ids.clean_path(F.lit(root))
+    files = t.view("v_gwas").select("study_id").distinct().withColumn(
+        "in_tsv",
+        F.when(F.col("study_id") == "GCSTR", F.concat(place, F.lit("/in/odd 100%/part+1")))
+        .when(F.col("study_id") == "GCSTA", F.concat(place, F.lit("/in/study_id=GCSTA/*.csv.{gz,bz2}")))
+        .otherwise(F.concat(place, F.lit("/in/study_id="), "study_id")),
     )
     manifest = files.withColumns(
         {

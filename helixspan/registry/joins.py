@@ -24,7 +24,7 @@ def eaf_fill(t: Tables) -> DataFrame:
     """SELECT q.phenotype_id, q.chrom, q.pos, q.ref, q.alt,
         CASE WHEN p.gnomad_nfe <= 0.5e0 THEN q.maf ELSE 1e0 - q.maf END AS eaf, p.pos_b38
     FROM v_qtl q JOIN v_panel p ON q.chrom = p.chrom_b37 AND q.pos = p.pos_b37
-        AND q.ref = p.ref AND q.alt = p.alt"""
+        AND q.ref = p.ref AND q.alt = p.alt AND p.gnomad_nfe IS NOT NULL"""
 )
 def panel_presence(t: Tables) -> DataFrame:
     sites = harmonise.panel_sites(t.panel(), "b37", ["pos_b38"])
@@ -42,7 +42,7 @@ def panel_presence(t: Tables) -> DataFrame:
           OR (p.ref = a.effect_allele AND p.alt = a.other_allele))"""
 )
 def allele_harmonise(t: Tables) -> DataFrame:
-    sites = harmonise.panel_sites(t.panel(), "b37", ["chrom_b38", "pos_b38"])
+    sites = harmonise.panel_sites(t.panel(), "b37", ["chrom_b38", "pos_b38"], known_only=False)
     aligned = harmonise.orient(harmonise.align_alleles(t.view("v_alleles"), sites), "beta")
     return harmonise.to_new_build(aligned).select(
         "gene_id", "chrom", "pos", "ref", "alt", "beta", F.col("gnomad_nfe").alias("eaf")

@@ -11,7 +11,7 @@ from helixspan.registry.scalars import _quantile_sql
 from helixspan.registry.views import Tables
 
 _PANEL_JOIN = """{kind} JOIN v_panel p ON {alias}.chrom = p.chrom_b37 AND {alias}.pos = p.pos_b37
-    AND {alias}.ref = p.ref AND {alias}.alt = p.alt"""
+    AND {alias}.ref = p.ref AND {alias}.alt = p.alt AND p.gnomad_nfe IS NOT NULL"""
 _FLOOR = "CASE WHEN pval = 0 THEN 2.2250738585072014e-308 ELSE pval END"
 _STUDIES = """sizes AS (SELECT DISTINCT study_id, cast(1000 AS int) AS n_total,
     cast(CASE WHEN study_id = 'GCSTA' THEN 300 END AS int) AS n_cases FROM v_gwas)"""

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,9 +40,57 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside, when their last reader is done.
+
+    Frames that are built on them must have been written before the block ends.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        conf = spark._jsc.hadoopConfiguration()
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def tidy_job(job: Callable) -> Callable:
+    """A job, with the session as first argument, that leaves no intermediate tables."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        with tidy(spark):
+            return job(spark, *args, **options)
+
+    return run
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs inside, put back afterwards."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def hand_over(df: DataFrame, label: str = "table") -> DataFrame:

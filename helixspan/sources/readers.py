@@ -6,12 +6,14 @@ read the input twice and type a chromosome column by accident.
 
 from __future__ import annotations
 
-import gzip
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from helixspan.functions import ids
 from helixspan.operators.combine import union_all
+from helixspan.session import hand_over, settings
 
 Paths = str | Sequence[str]
 
@@ -120,8 +122,8 @@ CHAIN_BLOCKS = (
 
 
 def source_file() -> Column:
-    """Full path of the file a row was read from."""
-    return F.col("_metadata.file_path")
+    """Full path of the file a row was read from, as one would write it."""
+    return ids.clean_path(F.col("_metadata.file_path"))
 
 
 def source_name() -> Column:
@@ -135,24 +137,37 @@ def read_mapped_tsv(
     columns: Mapping[str, tuple[str, str]],
     extra: Mapping[str, Column] | None = None,
     confident: bool = False,
+    bad: str | None = None,
 ) -> DataFrame:
     """Header TSV read as strings, ``NA`` as null, mapped to unified names and types.
 
-    Columns the file lacks become typed nulls and unparsable numbers null. ``extra``
-    adds columns such as the source file; ``confident`` drops rows flagged as
+    Columns the file lacks become typed nulls and unparsable numbers null; ``bad`` names
+    a column that counts them per row. Integers may carry decimals, which are cut off.
+    ``extra`` adds columns such as the source file; ``confident`` drops rows flagged as
     low-confidence variants before the flag is projected away.
     """
     raw = spark.read.csv(paths, sep="\t", header=True, nullValue="NA")
     if confident and "low_confidence_variant" in raw.columns:
         raw = raw.where(~F.col("low_confidence_variant").try_cast("boolean"))
     present = set(raw.columns)
+
+    def parsed(source: str, kind: str) -> Column:
+        text = F.col(f"`{source}`")
+        return ids.whole(text) if kind == "int" else text.try_cast(kind)
+
+    lost = [
+        (F.col(f"`{source}`").isNotNull() & parsed(source, kind).isNull()).cast("int")
+        for source, (_, kind) in columns.items()
+        if source in present and kind != "string"
+    ]
+    counted = [sum(lost, F.lit(0)).alias(bad)] if bad else []
     return raw.select(
         *[
-            (F.col(f"`{source}`").try_cast(kind) if source in present else F.lit(None).cast(kind))
-            .alias(name)
+            (parsed(source, kind) if source in present else F.lit(None).cast(kind)).alias(name)
             for source, (name, kind) in columns.items()
         ],
         *[value.alias(name) for name, value in (extra or {}).items()],
+        *counted,
     )
 
 
@@ -205,34 +220,31 @@ def read_paths(spark: SparkSession, path: Paths) -> DataFrame:
     )
 
 
-def _first_line(batches: Iterable) -> Iterable:
-    """Per file path: its first line. Opens the file and reads one block."""
-    import pyarrow as pa
-    from pyarrow import fs
-
+def _first_row(batches: Iterable) -> Iterable:
+    """The first row of a partition, if a file starts there; the rest is not fetched."""
     for batch in batches:
-        paths = batch.column("path").to_pylist()
-        headers = []
-        for path in paths:
-            system, inner = fs.FileSystem.from_uri(path)
-            with system.open_input_stream(inner, compression=None) as raw:
-                stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
-                text = b""
-                while b"\n" not in text and (block := stream.read(8192)):
-                    text += block
-            headers.append(text.split(b"\n", 1)[0].decode("utf-8").rstrip("\r"))
-        yield pa.RecordBatch.from_pydict({"file_path": paths, "header": headers})
+        if batch.num_rows:
+            if batch.column("start")[0].as_py() == 0:
+                yield batch.slice(0, 1).select(["file_path", "header"])
+            return
 
 
 def header_lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(file_path, header) of every file, without reading the files' contents.
+    """(file_path, header) of every file that has a line.
 
-    Spark lists the files (the content column is pruned) and tasks read the first
-    block of each.
+    Spark's text source reads, so every storage, name and compression it knows will do.
+    With the cost of opening a file set to a whole split no task gets two files, and a
+    task stops after its first batch of lines.
     """
-    listing = spark.read.format("binaryFile").load(paths).select("path")
-    spread = listing.repartition(spark.sparkContext.defaultParallelism)
-    return spread.mapInArrow(_first_line, "file_path string, header string")
+    one_each = {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("value").alias("header"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    with settings(spark, one_each):
+        firsts = lines.mapInArrow(_first_row, "file_path string, header string")
+        return hand_over(firsts.withColumn("file_path", ids.clean_path(F.col("file_path"))).distinct(), "headers")
 
 
 def header_groups(headers: DataFrame) -> DataFrame:
@@ -249,16 +261,56 @@ def read_mapped_by_header(
     paths: Paths,
     columns: Mapping[str, tuple[str, str]],
     extra: Mapping[str, Column] | None = None,
+    confident: bool = False,
+    bad: str | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """``read_mapped_tsv`` for files whose headers differ: one read per distinct header.
 
     CSV binds columns by position within one read, so files with another column set
-    or order must not share it. The driver handles file names only.
+    or order must not share it. ``headers`` is the result of ``header_lines`` if it is
+    known. The driver holds file names, which it hands to the readers.
     """
-    by_header: dict[str, list[str]] = {}
-    for row in header_lines(spark, paths).toLocalIterator():
-        by_header.setdefault(row["header"], []).append(row["file_path"])
+    known = header_lines(spark, paths) if headers is None else headers
+    groups = known.groupBy("header").agg(F.sort_array(F.collect_set("file_path")).alias("files"))
     return union_all(
-        read_mapped_tsv(spark, sorted(group), columns, extra)
-        for _, group in sorted(by_header.items())
+        read_mapped_tsv(spark, [literal_path(f) for f in row["files"]], columns, extra, confident, bad)
+        for row in groups.orderBy("header").toLocalIterator()
+    )
+
+
+def literal_path(path: str) -> str:
+    """A file's name as a pattern that matches this file only."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
+def files_of_lines(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """(file_path, line): which files a line of a manifest stands for.
+
+    A line is a file, a folder or a glob, with or without a scheme. The part of the line
+    before its first pattern is joined with the folders above each file, and the whole
+    line then has to match as a pattern, so no file is compared with every line.
+    """
+    cleaned = F.regexp_replace(F.regexp_replace("line", "^file:/+", "/"), "/+$", "")
+    plain = F.regexp_extract(F.col("clean"), r"^[^*?\[{]*", 0)
+    fixed = F.when(plain == F.col("clean"), plain).otherwise(F.regexp_replace(plain, "/[^/]*$", ""))
+    pattern = F.regexp_replace("clean", r"([.+()^$|\\])", r"\\$1")
+    for text, becomes in ((r"\*", "[^/]*"), (r"\?", "[^/]"), (r"\[!", "[^"), (r"\{", "(?:"), (r"\}", ")")):
+        pattern = F.regexp_replace(pattern, text, becomes)
+    pattern = F.when(F.col("clean").contains("{"), F.replace(pattern, F.lit(","), F.lit("|"))).otherwise(pattern)
+    asked = (
+        lines.select("line").distinct()
+        .withColumn("clean", cleaned)
+        .select("line", fixed.alias("fixed"), F.concat(F.lit("^"), pattern, F.lit("(/.*)?$")).alias("pattern"))
+    )
+    bare = F.regexp_replace("file_path", "^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(F.split("name", "/"))),
+        lambda n: F.array_join(F.slice(F.split("name", "/"), 1, n), "/"),
     )
+    placed = (
+        files.select("file_path", F.explode(F.array_distinct(F.array("file_path", bare))).alias("name"))
+        .select("file_path", "name", F.explode(above).alias("fixed"))
+    )
+    found = placed.join(hand_over(asked, "lines"), "fixed").where(F.expr("name rlike pattern"))
+    return found.select("file_path", "line").distinct()

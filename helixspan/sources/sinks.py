@@ -41,14 +41,24 @@ def write_by_study(df: DataFrame, path: str) -> None:
     write_by_folder(labelled, path, ["col_study_id", "bio_feature", "chrom"])
 
 
-def write_intervals(intervals: DataFrame, path: str) -> None:
-    """Interval table as one TSV with a header; empty strings stay empty."""
-    intervals.coalesce(1).write.csv(path, sep="\t", header=True, emptyValue="", mode="overwrite")
+def write_intervals(intervals: DataFrame, path: str, files: int | None = None) -> None:
+    """Interval table as TSV with headers; empty strings stay empty.
+
+    ``files`` asks for a number of files in range order, 1 for a single one; the rows
+    are computed in parallel all the same.
+    """
+    if files:
+        intervals = intervals.repartitionByRange(files, "study_id", "chrom", "start")
+    intervals.write.csv(path, sep="\t", header=True, emptyValue="", mode="overwrite")
 
 
 def write_export(df: DataFrame, path: str, folder: str | None = None) -> None:
-    """Compressed TSV with ``NA`` for null, optionally one folder per phenotype."""
-    writer = df.write.partitionBy(folder) if folder else df.write
+    """Compressed TSV with ``NA`` for null, optionally one folder per phenotype.
+
+    With folders the rows are dealt by folder first, so that a task writes few of them
+    and the number of files follows folders and tasks, not their product.
+    """
+    writer = by_folder_and_position(df, [folder]).write.partitionBy(folder) if folder else df.write
     writer.csv(
         path, sep="\t", header=True, nullValue="NA", compression="gzip", mode="overwrite"
     )

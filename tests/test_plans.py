@@ -126,3 +126,29 @@ def test_a_hot_window_is_split(spark, hot):
         kept, _ = windows.extract_windows(hot, 100, "gwas", 1e-8)
         assert "skew=true" in plan_of(kept, run=True)
         assert kept.count() == hot.where("pos <= 101").count()
+
+
+def test_splicing_reads_delivery_and_panel_once(spark, table, tmp_path, monkeypatch):
+    from helixspan.plans import molecular
+    from helixspan.sources import readers
+
+    scans = []
+    real = molecular.hand_over
+
+    def watched(df, label="table"):
+        if label == "known":
+            scans.append(plan_of(df).count("FileScan"))
+        return real(df, label)
+
+    monkeypatch.setattr(molecular, "hand_over", watched)
+    rows = [("chr1:1:2:clu_1:ENSG1.1", "chr1_5_A_G_b38", 20, 0.1, 0.01, 0.5, 0.1)]
+    table(rows, readers.TISSUE_SQTL).write.parquet(str(tmp_path / "rows.parquet"))
+    panel = table(
+        [("1", 5, "1", 5, "A", "G", (0.1,))],
+        "chrom_b37 string, pos_b37 int, chrom_b38 string, pos_b38 int, ref string, alt string, "
+        "af struct<gnomad_nfe: double>",
+    )
+    delivered = spark.read.parquet(str(tmp_path / "rows.parquet"))
+    out = molecular.tissue_sqtl(delivered, panel, study_id=F.lit("s"), bio_feature=F.lit("t"))
+    assert out.count() == 1 and scans == [2]
+    assert "slope_se" in plan_of(out) and "variant_id" not in plan_of(out)

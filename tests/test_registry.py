@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from helixspan import registry
 from tools.compare import TABLES, as_rows
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,11 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
 
 
+def test_entry_offers_the_registry():
+    assert entry_module.queries().keys() >= QUERIES.keys()
+    assert entry_module.oracle_sql().keys() >= ORACLES.keys()
+
+
 def test_flagship(spark):
     assert entry_module.entry(spark).count() > 0
 

@@ -8,42 +8,35 @@ from helixspan.plans import extract
 
 SCHEMA = "study_id string, phenotype_id string, bio_feature string, chrom string, pos int, pval double"
 
-# Labelled example: (study, chrom) -> [(pos, pval, kept)], for p <= 0.05 and distance 10.
-LABELLED = {
-    ("A", "1"): [
-        (1, 0.37, 1), (2, 0.79, 1), (3, 0.00001, 1), (4, 0.8, 1), (5, 0.2, 1), (9, 0.2, 1),
-        (10, 0.19, 1), (11, 0.5, 1), (12, 0.2, 1), (13, 0.92, 1), (14, 0.25, 0), (15, 0.57, 0),
-        (16, 0.82, 0), (17, 0.52, 0), (18, 0.48, 0), (19, 0.2, 0), (20, 0.71, 0),
-    ],
-    ("A", "2"): [
-        (1, 0.59, 0), (2, 0.11, 0), (3, 0.49, 0), (4, 0.21, 0), (5, 0.67, 0), (6, 0.09, 0),
-        (7, 0.7, 0), (8, 0.68, 0), (9, 0.92, 0), (10, 0.73, 1), (11, 0.76, 1), (12, 0.1, 1),
-        (13, 0.18, 1), (14, 0.29, 1), (15, 0.87, 1), (16, 0.17, 1), (17, 0.61, 1),
-        (18, 0.13, 1), (19, 0.41, 1), (20, 0.00001, 1),
-    ],
-    ("B", "1"): [
-        (1, 0.17, 0), (2, 0.18, 0), (3, 0.59, 0), (4, 0.12, 0), (5, 0.67, 0), (6, 0.13, 0),
-        (7, 0.19, 1), (17, 0.00001, 1), (18, 0.59, 1), (19, 1.0, 1), (20, 0.51, 1),
-    ],
-}
+WIDTH = 12
+
+
+def made_up_rows():
+    """(study, chromosome, position, p): three groups with hits at an edge, close by and alone."""
+    hits = {("x", "3"): {40, 55, 90}, ("x", "4"): {2}, ("y", "3"): {100, 113}}
+    for (study, chrom), found in hits.items():
+        for pos in range(1, 121, 2 if chrom == "3" else 3):
+            yield study, chrom, pos, 0.3 + pos / 200
+        for pos in found:
+            yield study, chrom, pos, 1e-5
+
+
+def kept_by_hand(rows):
+    """Rows within WIDTH of a hit of their own group."""
+    return sorted(
+        (s, c, p)
+        for s, c, p, _ in rows
+        if any(s2 == s and c2 == c and abs(p2 - p) <= WIDTH and v <= 0.05 for s2, c2, p2, v in rows)
+    )
 
 
 @pytest.fixture(scope="module")
 def labelled(table):
-    rows = [
-        (study, None, None, chrom, pos, p)
-        for (study, chrom), entries in LABELLED.items()
-        for pos, p, _ in entries
-    ]
+    rows = [(study, None, None, chrom, pos, p) for study, chrom, pos, p in made_up_rows()]
     return table(rows, SCHEMA)
 
 
-EXPECTED = sorted(
-    (study, chrom, pos)
-    for (study, chrom), entries in LABELLED.items()
-    for pos, _, kept in entries
-    if kept
-)
+EXPECTED = kept_by_hand(list(made_up_rows()))
 
 
 def keys(df):
@@ -53,17 +46,17 @@ def keys(df):
 def test_labelled_intervals(labelled):
     hits = labelled.where("pval <= 0.05")
     found = sorted(
-        (r.study_id, r.chrom, r.start, r.end) for r in windows.merge_windows(hits, 10).collect()
+        (r.study_id, r.chrom, r.start, r.end) for r in windows.merge_windows(hits, WIDTH).collect()
     )
-    assert found == [("A", "1", 0, 13), ("A", "2", 10, 30), ("B", "1", 7, 27)]
+    assert found == [("x", "3", 28, 67), ("x", "3", 78, 102), ("x", "4", 0, 14), ("y", "3", 88, 125)]
 
 
 def test_labelled_rows_all_forms(labelled):
     hit = F.col("pval") <= 0.05
-    by_join, _ = windows.extract_windows(labelled, 10, "gwas", 0.05)
+    by_join, _ = windows.extract_windows(labelled, WIDTH, "gwas", 0.05)
     assert keys(by_join) == EXPECTED
-    assert keys(windows.keep_near_by_frame(labelled, hit, 10)) == EXPECTED
-    assert keys(windows.keep_near(labelled, labelled.where(hit), 10)) == EXPECTED
+    assert keys(windows.keep_near_by_frame(labelled, hit, WIDTH)) == EXPECTED
+    assert keys(windows.keep_near(labelled, labelled.where(hit), WIDTH)) == EXPECTED
 
 
 def merged_by_hand(positions, width):
