@@ -22,7 +22,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from helixspan.llm.texts import pick
-from helixspan.session import hand_over
+from helixspan.session import hand_over, settings
 
 #: Longest piece of a paragraph, in code points.
 PIECE = 128
@@ -35,6 +35,11 @@ ROUNDS = 12
 SECTIONS_PER_PARTITION, MAX_SECTIONS = 8, 65536
 
 
+#: The rounds are many small aggregations in one stage. Each would reserve a memory page
+#: for its first-level map before the first row arrives; the second level needs none.
+ONE_LEVEL = {"spark.sql.codegen.aggregate.map.twolevel.enabled": "false"}
+
+
 def digests(text: Column, piece: int = PIECE) -> Column:
     pieces = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{piece}}}"), F.lit(0))
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
@@ -309,6 +314,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Likeness is 1 - differing digests / digests of both texts.
     """
+    spark = docs.sparkSession
     base = hand_over(versions(docs), "versions")
     other = F.when(F.col("pair") == 1, F.col("edited")).otherwise(F.col("next"))
     dealt = base.select("number", "own", "edited", "next").repartition("number")
@@ -316,12 +322,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     stuck = first.where("stuck").select("number", "pair")
     # Both sides are dealt by number already: the retry needs no further shuffle.
     second = again(dealt.join(stuck, "number").select("number", "pair", "own", other.alias("other")), 1)
-    found = hand_over(first.where("NOT stuck").unionByName(second), "peeled")
+    with settings(spark, ONE_LEVEL):
+        found = hand_over(first.where("NOT stuck").unionByName(second), "peeled")
     solved, attempt = [found.where("NOT stuck")], 1
     while not (stuck := found.where("stuck").select("number", "pair")).isEmpty():
         attempt += 1
         pairs = base.join(stuck, "number").select("number", "pair", "own", other.alias("other"))
-        found = hand_over(again(pairs, attempt), "peeled")
+        with settings(spark, ONE_LEVEL):
+            found = hand_over(again(pairs, attempt), "peeled")
         solved.append(found.where("NOT stuck"))
     all_solved = solved[0]
     for more in solved[1:]:
