@@ -8,10 +8,10 @@ the weighted Jaccard similarity. Only points before a deadline that fills the re
 are drawn.
 
 Signatures are banded. Texts with the same words are one node; nodes that share a band are
-candidates, and a link needs the exact overlap of both multisets. Within a bucket the
-smallest node is compared with all others first; buckets whose nodes are not in one
-component yet go on with the next smallest, and after ``PIVOT_ROUNDS`` the pairs that
-are left across components are compared all. Pairs within a component need no test, so no
+candidates, and a link needs the exact overlap of both multisets. Within a bucket one
+node, the pivot, is compared with all others first; buckets whose nodes are not in one
+component yet go on with the next pivot, and after ``PIVOT_ROUNDS`` the pairs that are
+left across components are compared all. Pairs within a component need no test, so no
 link between components is lost and a large group costs a multiple of its size.
 
 Defined cases: a null text is alike with nothing; texts without words are alike only if
@@ -213,42 +213,51 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def node_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, component of all nodes that are linked; ``members`` has (bucket, node)."""
-    centres = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    """node, component of all nodes that are linked; ``members`` has (bucket, node).
+
+    Pivots are taken in the order of ``rank``: nodes whose buckets hold many others come
+    first, as an original does among its copies, so that few pivots link a large group.
+    """
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
+    rank = F.struct((-F.col("weight")).alias("w"), "node").alias("rank")
+    members = hand_over(members.join(weight, "node").select("bucket", rank), "ranked")
+    centres = members.groupBy("bucket").agg(F.min("rank").alias("pivot"))
     nearest = (
-        members.join(centres, "bucket").where("a < node")
-        .groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
+        members.join(centres, "bucket").where("pivot < rank")
+        .groupBy(F.col("rank.node").alias("b")).agg(F.min("pivot").alias("pivot"))
+        .select(F.col("pivot.node").alias("a"), "b")
     )
     links = hand_over(verified(nearest, nodes, sets), "links")
     labels = hand_over(connected_components(links, "a", "b"), "labels")
     active = members
     for turn in range(PIVOT_ROUNDS + 1):
         placed = (
-            active.join(labels, "node", "left")
-            .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+            active.withColumn("node", F.col("rank.node")).join(labels, "node", "left")
+            .select("bucket", "rank", F.coalesce("component", "node").alias("component"))
         )
         mixed = (
             placed.groupBy("bucket")
-            .agg(F.min("node").alias("a"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .agg(F.min("rank").alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi"))
             .where("lo < hi")
-            .select("bucket", "a")
+            .select("bucket", "pivot")
         )
         open_ = hand_over(placed.join(mixed, "bucket"), "open")
         if open_.isEmpty():
             break
         if turn < PIVOT_ROUNDS:
-            pivots = open_.where("node = a").select("bucket", F.col("component").alias("of_a"))
-            rest = open_.where("node > a").join(pivots, "bucket")
-            pairs = rest.where("component != of_a").select("a", F.col("node").alias("b")).distinct()
+            pivots = open_.where("rank = pivot").select("bucket", F.col("component").alias("of_a"))
+            rest = open_.where("rank > pivot").join(pivots, "bucket").where("component != of_a")
+            pairs = rest.select(F.col("pivot.node").alias("a"), F.col("rank.node").alias("b")).distinct()
         else:
-            left = open_.select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"))
-            right = open_.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"))
+            left = open_.select("bucket", F.col("rank.node").alias("a"), F.col("component").alias("of_a"))
+            right = open_.select("bucket", F.col("rank.node").alias("b"), F.col("component").alias("of_b"))
             pairs = left.join(right, "bucket").where("a < b AND of_a != of_b").select("a", "b").distinct()
         more = hand_over(verified(pairs, nodes, sets), "links")
         if not more.isEmpty():
             links = hand_over(links.unionByName(more), "links")
             labels = hand_over(connected_components(links, "a", "b"), "labels")
-        active = open_.where("node > a").select("bucket", "node")
+        active = open_.where("rank > pivot").select("bucket", "rank")
     return labels
 
 
