@@ -25,7 +25,7 @@ from helixspan.llm.texts import pick
 from helixspan.session import hand_over, settings
 
 #: Longest piece of a paragraph, in code points.
-PIECE = 128
+PIECE = 192
 SUBTABLES = 3
 #: Cells per subtable of the stored fingerprint.
 WIDTH = 8
@@ -232,58 +232,34 @@ def versions(docs: DataFrame) -> DataFrame:
     )
 
 
-def sides(table: DataFrame, width: Column, seed: Column, wanted: Column | None = None) -> DataFrame:
-    """One row per number and side (0 own, 1 edited, 2 next), dealt by number."""
-    parts = F.array(
-        *[F.struct(F.lit(i).alias("side"), F.col(c).alias("digests")) for i, c in enumerate(("own", "edited", "next"))]
-    )
-    return table.select("number", width.alias("width"), seed.alias("seed"), F.inline(parts))
-
-
-def written(digest_array: Column, width: int = WIDTH) -> Column:
-    """The stored sketch of one text as a string: count, digests, checks of every cell.
+def written(texts: DataFrame) -> DataFrame:
+    """number, side, digests -> number, side, sketch of ``WIDTH`` cells per subtable as a string.
 
-    Cell by cell over the text's own digests, so it needs no grouping of rows.
+    The width is fixed, so every cell is an aggregate of its own over the digests.
     """
-    seed, size = F.lit(0), F.lit(width)
-    keyed = F.transform(
-        digest_array,
-        lambda d: F.struct(
-            d.alias("d"),
-            check_of(d).alias("c"),
-            *[cell_of(d, j, size, seed).alias(f"p{j}") for j in range(SUBTABLES)],
-        ),
+    digest, seed, width = F.col("digest"), F.lit(0), F.lit(WIDTH)
+    each = texts.select("number", "side", F.explode("digests").alias("digest")).withColumns(
+        {"checks": check_of(digest)}
+        | {f"p{j}": cell_of(digest, j, width, seed) for j in range(SUBTABLES)}
     )
-
-    def cell(j: int):
-        def one(at: Column) -> Column:
-            here = F.filter(keyed, lambda k: k[f"p{j}"] == at)
-            start = F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("c"))
-            xor = F.aggregate(
-                here,
-                start,
-                lambda acc, k: F.struct(
-                    acc["d"].bitwiseXOR(k["d"]).alias("d"), acc["c"].bitwiseXOR(k["c"]).alias("c")
-                ),
-                lambda acc: F.concat_ws(":", F.hex(acc["d"]), F.hex(acc["c"])),
-            )
-            return F.concat_ws(":", F.size(here).cast("string"), xor)
-
-        return one
-
-    tables = [F.transform(F.sequence(F.lit(j * width), F.lit((j + 1) * width - 1)), cell(j)) for j in range(SUBTABLES)]
-    return F.array_join(F.concat(*tables), ";")
-
-
-def differences(cells: DataFrame, keep: bool = False) -> DataFrame:
-    """Sketch cells of the sides -> (number, pair, cell, found, n) after peeling.
-
-    Pair 1 is own against edited, pair 2 own against next.
-    """
-    pairs = F.when(F.col("side") == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array("side"))
-    paired = cells.withColumn("found", F.lit(None).cast("long")).select("*", F.explode(pairs).alias("pair"))
-    sign = F.when(F.col("side") == 0, 1).otherwise(-1)
-    return peel(subtract(paired, ["number", "pair"], sign), ["number", "pair"], keep=keep)
+    cells = []
+    for j in range(SUBTABLES):
+        for c in range(j * WIDTH, (j + 1) * WIDTH):
+            here = F.col(f"p{j}") == c
+            cells += [
+                F.count_if(here).alias(f"n{c}"),
+                F.bit_xor(F.when(here, digest).otherwise(0)).alias(f"d{c}"),
+                F.bit_xor(F.when(here, F.col("checks")).otherwise(0)).alias(f"c{c}"),
+            ]
+    sums = each.groupBy("number", "side").agg(*cells)
+    text = F.concat_ws(
+        ";",
+        *[
+            F.concat_ws(":", F.col(f"n{c}").cast("string"), F.hex(f"d{c}"), F.hex(f"c{c}"))
+            for c in range(SUBTABLES * WIDTH)
+        ],
+    )
+    return sums.select("number", "side", text.alias("sketch"))
 
 
 def outcome(peeled: DataFrame) -> DataFrame:
@@ -303,7 +279,7 @@ def again(pairs: DataFrame, attempt: int) -> DataFrame:
         F.struct(F.lit(1).alias("side"), F.col("other").alias("digests")),
     )
     keys = ["number", "pair"]
-    texts = pairs.select(*keys, width.alias("width"), F.lit(attempt).alias("seed"), F.inline(parts))
+    texts = pairs.select(*keys, width.alias("width"), F.lit(attempt - 1).alias("seed"), F.inline(parts))
     cells = sketch(texts, [*keys, "side"]).withColumn("found", F.lit(None).cast("long"))
     sign = F.when(F.col("side") == 0, 1).otherwise(-1)
     return outcome(peel(subtract(cells, keys, sign), keys))
@@ -312,42 +288,63 @@ def again(pairs: DataFrame, attempt: int) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Likeness is 1 - differing digests / digests of both texts.
+    Likeness is 1 - differing digests / digests of both texts. A pair starts with the width
+    of the stored fingerprint, or, if both texts have more digests than that can hold, with
+    one that can; what is stuck is tried again with twice the width and another seed.
     """
     spark = docs.sparkSession
     base = hand_over(versions(docs), "versions")
-    other = F.when(F.col("pair") == 1, F.col("edited")).otherwise(F.col("next"))
-    dealt = base.select("number", "own", "edited", "next").repartition("number")
-    first = outcome(differences(sketch(sides(dealt, F.lit(WIDTH), F.lit(0)), ["number", "side"])))
-    stuck = first.where("stuck").select("number", "pair")
-    # Both sides are dealt by number already: the retry needs no further shuffle.
-    second = again(dealt.join(stuck, "number").select("number", "pair", "own", other.alias("other")), 1)
-    with settings(spark, ONE_LEVEL):
-        found = hand_over(first.where("NOT stuck").unionByName(second), "peeled")
-    solved, attempt = [found.where("NOT stuck")], 1
-    while not (stuck := found.where("stuck").select("number", "pair")).isEmpty():
-        attempt += 1
-        pairs = base.join(stuck, "number").select("number", "pair", "own", other.alias("other"))
+    others = F.array(
+        *[F.struct(F.lit(i).alias("pair"), F.col(c).alias("other")) for i, c in ((1, "edited"), (2, "next"))]
+    )
+    pairs = base.select("number", "own", "edited", "next").repartition("number")
+    pairs = pairs.select("number", "own", F.inline(others))
+    solved, attempt = [], 1
+    while True:
         with settings(spark, ONE_LEVEL):
             found = hand_over(again(pairs, attempt), "peeled")
         solved.append(found.where("NOT stuck"))
+        stuck = found.where("stuck").select("number", "pair")
+        if stuck.isEmpty():
+            break
+        attempt += 1
+        chosen = base.join(stuck, "number")
+        other = F.when(F.col("pair") == 1, F.col("edited")).otherwise(F.col("next"))
+        pairs = chosen.select("number", "pair", "own", other.alias("other"))
     all_solved = solved[0]
     for more in solved[1:]:
         all_solved = all_solved.unionByName(more)
     per_doc = all_solved.groupBy("number").agg(
         *[F.max(F.when(F.col("pair") == p, F.col("differing"))).alias(f"d{p}") for p in (1, 2)]
     )
+    sides = F.array(
+        *[F.struct(F.lit(i).alias("side"), F.col(c).alias("digests")) for i, c in enumerate(("own", "edited"))]
+    )
+    dealt = base.select("number", "own", "edited").repartition("number")
+    sketches = written(dealt.select("number", F.inline(sides)))
+    prints = sketches.groupBy("number").agg(
+        *[F.max(F.when(F.col("side") == i, F.col("sketch"))).alias(f"s{i}") for i in (0, 1)]
+    )
+    rows = base.select(
+        "number", "doc_id", "n_chars", "edited_sha256",
+        *[F.size(c).alias(f"n_{c}") for c in ("own", "edited", "next")],
+    )
 
     def near(differing: str, against: str) -> Column:
-        total = F.size("own") + F.size(against)
+        total = F.col("n_own") + F.col(against)
         return F.when(total == 0, 1.0).otherwise(1.0 - F.coalesce(differing, F.lit(0)) / total)
 
-    return base.join(per_doc, "number", "left").select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        written(F.col("own")).alias("fingerprint"),
-        written(F.col("edited")).alias("edited_fingerprint"),
-        near("d1", "edited").alias("near_edited"),
-        near("d2", "next").alias("near_next"),
+    empty = F.lit(";".join(["0:0:0"] * (SUBTABLES * WIDTH)))
+    return (
+        rows.join(per_doc, "number", "left")
+        .join(prints, "number", "left")
+        .select(
+            "doc_id",
+            "n_chars",
+            "edited_sha256",
+            F.coalesce("s0", empty).alias("fingerprint"),
+            F.coalesce("s1", empty).alias("edited_fingerprint"),
+            near("d1", "n_edited").alias("near_edited"),
+            near("d2", "n_next").alias("near_next"),
+        )
     )

@@ -70,7 +70,7 @@ def test_components_of_nothing(spark):
 
 
 def brute_pieces(text):
-    return set(re.findall(r"[^\n]{1,128}", text))
+    return set(re.findall(r"[^\n]{1,192}", text))
 
 
 def likeness(a, b):
