@@ -9,7 +9,7 @@ documents relative to that of positives tends to the prior.
 
 Fitting takes at most ``N_POSITIVE`` and ``N_UNLABELLED`` documents, those with the
 smallest hash of their id, and only documents whose id belongs to the learning fold.
-Every document is scored.
+Copies among them count once. Every document is scored.
 
 Defined cases: a null or empty text is scored by its measurements, which are zeros; a
 null id counts as empty text in the fold; labels that contradict each other count as no
@@ -69,7 +69,7 @@ def measurements(text: str | None) -> list[float]:
         sum(map(str.isalpha, words)) / n,
         len(zlib.compress(raw, 1)) / size if size >= 200 else 0.5,
         float(bytes_[CAPITALS].sum()) / size,
-        float(np.log1p(len(words))),
+        min(len(words), 20) / 20,
     ]
 
 
@@ -112,7 +112,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     share_p = 1 - np.searchsorted(p, levels) / len(p)
     share_u = 1 - np.searchsorted(u, levels) / len(u)
     # An upper confidence bound keeps small samples from choosing a lucky level.
-    slack = np.sqrt(np.log(20) / (2 * len(u))) + np.sqrt(np.log(20) / (2 * len(p)))
+    slack = (np.sqrt(np.log(20) / len(u)) + np.sqrt(np.log(20) / len(p))) / 2
     best = np.argmin((share_u + slack) / share_p)
     return float(np.clip(share_u[best] / share_p[best], 0.05, 0.98))
 
@@ -168,9 +168,19 @@ def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int] | None = (3,
     rows.sort(key=lambda r: (r["o"], r["x"]))
     x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(len(rows), FEATURES)
     p = np.array([r["p"] for r in rows], dtype=bool)
-    if p.sum() < 20 or (~p).sum() < 20:
+    positive, unlabelled = without_copies(x[p]), without_copies(x[~p])
+    if len(positive) < 20 or len(unlabelled) < 20:
         return None
-    return fit(x[p], x[~p])
+    return fit(positive, unlabelled)
+
+
+def without_copies(x: np.ndarray) -> np.ndarray:
+    """One row for copies and near copies, in the order of the first.
+
+    A large group of copies that happens to be unlabelled says nothing about its quality.
+    """
+    _, first = np.unique(np.round(x, 2), axis=0, return_index=True)
+    return x[np.sort(first)]
 
 
 def measure_all(texts: list[str | None]) -> list[tuple]:

@@ -121,7 +121,7 @@ def test_fingerprints_of_odd_rows(odd, empty, table):
     prints = Counter(r["fingerprint"] for r in got if r["doc_id"] == 3)
     assert len(prints) == 1
     (only,) = iblt.fingerprints(table([(1, "ab\ncd")], "doc_id long, text string")).collect()
-    assert only["edited_sha256"] == hashlib.sha256(b"ab\nab").hexdigest()[:0] + hashlib.sha256(("ab\ncd"[:3] + "ab").encode()).hexdigest()
+    assert only["edited_sha256"] == hashlib.sha256(b"ab\nab").hexdigest()
 
 
 def test_hot_ids_are_cut_by_hash(spark):
@@ -167,7 +167,6 @@ def test_quality_on_held_out_labels(table, odd):
     # Odd rows are scored too, whatever is learned.
     none = table([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in quality.score_documents(odd, none).collect()} == {0.5}
-    assert all(0 <= quality.sigmoid(np.array([0.0]))[0] <= 1 for _ in range(1))
     assert len(quality.measurements(None)) == quality.FEATURES == len(quality.measurements("a " * 10**5))
 
 

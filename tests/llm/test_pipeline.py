@@ -78,9 +78,14 @@ def test_run_is_the_stages(spark, folder):
     assert got.count() > 300
 
 
-def test_stages_call_their_operators():
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "personal_data", "mixing", "encoding"]
-    assert all((quality.keep_good, neardup.deduplicate, pii.mask, mixing.mix, bpe.token_table))
+def test_stages_call_their_operators(monkeypatch):
+    called = []
+    for module, name in ((quality, "keep_good"), (neardup, "deduplicate"), (pii, "mask"), (mixing, "mix"), (bpe, "token_table")):
+        monkeypatch.setattr(module, name, lambda *a, n=name: called.append(n))
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: None)
+    for _, stage in corpus_pipeline.STAGES:
+        stage(None, None, "")
+    assert called == ["keep_good", "deduplicate", "mask", "mix", "token_table"]
 
 
 def test_empty_documents(spark, folder, tmp_path):
