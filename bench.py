@@ -46,6 +46,10 @@ HEADLINE = [
     "pipeline_pqtl",
     "pipeline_linear_export",
     "pipeline_site_list",
+    "union_all",
+    "export_by_phenotype",
+    "linear_export_job",
+    "ingest_job",
 ]
 
 
