@@ -10,8 +10,8 @@ are drawn.
 Signatures are banded. Texts with the same words are one node; nodes that share a band are
 candidates, and a link needs the exact overlap of both multisets. Within a bucket one
 node, the pivot, is compared with all others first; buckets whose nodes are not in one
-component yet go on with the next pivot, and after ``PIVOT_ROUNDS`` the pairs that are
-left across components are compared all. Pairs within a component need no test, so no
+component yet go on with the next ``PIVOTS`` pivots, and after ``PIVOT_ROUNDS`` the pairs
+that are left across components are compared all. Pairs within a component need no test, so no
 link between components is lost and a large group costs a multiple of its size.
 
 Defined cases: a null text is alike with nothing; texts without words are alike only if
@@ -40,7 +40,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Words whose hash a task remembers.
 REMEMBERED = 300_000
-PIVOT_ROUNDS = 6
+#: Pivots of a bucket that are taken together, and how often.
+PIVOTS, PIVOT_ROUNDS = 8, 2
 WORDS = re.compile(r"\w+")
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 STEP = 0x9E3779B97F4A7C15
@@ -198,11 +199,15 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose multisets overlap enough. Sizes too far apart need no look."""
     low, high = LINK
     size = nodes.select("node", "size")
+    # Written down, a short list of pairs is known to be short, and the multisets, which
+    # are the larger side by far, are not shuffled for it.
+    pairs = hand_over(pairs, "pairs")
     sized = (
         pairs.join(size.withColumnsRenamed({"node": "a", "size": "size_a"}), "a")
         .join(size.withColumnsRenamed({"node": "b", "size": "size_b"}), "b")
         .where(f"{high} * least(size_a, size_b) >= {low} * greatest(size_a, size_b)")
     )
+    sized = hand_over(sized, "sized")
     both = (
         sized.join(sets.withColumnsRenamed({"node": "a", "items": "items_a"}), "a")
         .join(sets.withColumnsRenamed({"node": "b", "items": "items_b"}), "b")
@@ -238,26 +243,28 @@ def node_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFra
         )
         mixed = (
             placed.groupBy("bucket")
-            .agg(F.min("rank").alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
             .where("lo < hi")
-            .select("bucket", "pivot")
+            .select("bucket")
         )
         open_ = hand_over(placed.join(mixed, "bucket"), "open")
         if open_.isEmpty():
             break
+        left, right = open_, open_
         if turn < PIVOT_ROUNDS:
-            pivots = open_.where("rank = pivot").select("bucket", F.col("component").alias("of_a"))
-            rest = open_.where("rank > pivot").join(pivots, "bucket").where("component != of_a")
-            pairs = rest.select(F.col("pivot.node").alias("a"), F.col("rank.node").alias("b")).distinct()
-        else:
-            left = open_.select("bucket", F.col("rank.node").alias("a"), F.col("component").alias("of_a"))
-            right = open_.select("bucket", F.col("rank.node").alias("b"), F.col("component").alias("of_b"))
-            pairs = left.join(right, "bucket").where("a < b AND of_a != of_b").select("a", "b").distinct()
+            lot = F.pmod(F.xxhash64("rank.node"), F.lit(PIVOTS)).alias("lot")
+            first = open_.groupBy("bucket", lot).agg(F.min(F.struct("rank", "component")).alias("first"))
+            left = hand_over(first.select("bucket", "first.*"), "pivots")
+        one = left.select("bucket", F.col("rank").alias("pivot"), F.col("component").alias("of_pivot"))
+        across = right.join(one, "bucket").where("component != of_pivot AND rank != pivot")
+        node, pivot = F.col("rank.node"), F.col("pivot.node")
+        pairs = across.select(F.least(node, pivot).alias("a"), F.greatest(node, pivot).alias("b")).distinct()
         more = hand_over(verified(pairs, nodes, sets), "links")
         if not more.isEmpty():
-            links = hand_over(links.unionByName(more), "links")
+            links = links.unionByName(more)
             labels = hand_over(connected_components(links, "a", "b"), "labels")
-        active = open_.where("rank > pivot").select("bucket", "rank")
+        if turn < PIVOT_ROUNDS:
+            active = open_.select("bucket", "rank").join(left.select("bucket", "rank"), ["bucket", "rank"], "left_anti")
     return labels
 
 

@@ -241,8 +241,9 @@ def test_chains_need_the_later_pivots(spark, monkeypatch):
         rows.append((100 - i, " ".join(words)))
         at = draw.randrange(200)
         words = [*words[:at], f"n{i}", *words[at + 1 :]]
-    for rounds in (0, 2, 6):
+    for rounds, pivots in ((0, 1), (1, 1), (2, 8)):
         monkeypatch.setattr(neardup, "PIVOT_ROUNDS", rounds)
+        monkeypatch.setattr(neardup, "PIVOTS", pivots)
         got = neardup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert {r["doc_id"]: r["class_id"] for r in got} == brute_classes(rows)
 
