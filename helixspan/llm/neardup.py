@@ -8,11 +8,12 @@ the weighted Jaccard similarity. Only points before a deadline that fills the re
 are drawn.
 
 Signatures are banded. Texts with the same words are one node; nodes that share a band are
-candidates, and a link needs the exact overlap of both multisets. Within a bucket one
-node, the pivot, is compared with all others first; buckets whose nodes are not in one
-component yet go on with the next ``PIVOTS`` pivots, and after ``PIVOT_ROUNDS`` the pairs
-that are left across components are compared all. Pairs within a component need no test, so no
-link between components is lost and a large group costs a multiple of its size.
+candidates, and a link needs the exact overlap of both multisets. First every node meets
+the weightiest node of its buckets, as a copy meets its original, and components are
+formed. In a bucket that still has several components, the nodes outside its largest
+component meet all nodes of other components, in blocks: a task holds ``CHUNK`` nodes and
+lets a part of the bucket stream by. Nodes of one component need no test, so no link
+between components is lost, and no list of pairs is ever made.
 
 Defined cases: a null text is alike with nothing; texts without words are alike only if
 they are equal; a text of fewer than five words is one shingle; a null id comes last when
@@ -24,10 +25,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from helixspan.llm.components import connected_components
 from helixspan.llm.texts import boxed, in_box, per_text, pick, unboxed
@@ -40,8 +43,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Words whose hash a task remembers.
 REMEMBERED = 300_000
-#: Pivots of a bucket that are taken together, and how often.
-PIVOTS, PIVOT_ROUNDS = 8, 2
+#: Nodes that a block holds, and nodes of a bucket that stream by in one task.
+CHUNK, PART = 256, 4096
 WORDS = re.compile(r"\w+")
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 STEP = 0x9E3779B97F4A7C15
@@ -89,14 +92,6 @@ class Shingles:
         return total
 
 
-def occurrences(hashes: np.ndarray) -> np.ndarray:
-    """A multiset as a sorted set: the i-th occurrence of an element is one of its own."""
-    ordered = np.sort(hashes)
-    start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else ordered[:0]
-    run = np.arange(len(ordered)) - np.repeat(start, np.diff(np.r_[start, len(ordered)])).astype(np.int64)
-    return mix(ordered + run.astype(np.uint64) * GOLD)
-
-
 def signatures(element: np.ndarray, count: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """n x REGISTERS values for n multisets given as (element, count, owner) triples."""
     m = REGISTERS
@@ -187,85 +182,155 @@ def multisets():
     shingles = Shingles()
 
     def work(texts: list[str | None]) -> list[tuple]:
-        return [
-            (occurrences(shingles.hashes(WORDS.findall((t or "").lower()))).view(np.int64).tolist(),)
-            for t in texts
-        ]
+        rows = []
+        for text in texts:
+            words = WORDS.findall(text.lower()) if text else []
+            items, counts = np.unique(shingles.hashes(words).view(np.int64), return_counts=True)
+            rows.append((items.tolist(), counts.tolist()))
+        return rows
 
     return work
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough. Sizes too far apart need no look."""
+def alike(size: int, items: np.ndarray, counts: np.ndarray, size2: int, items2: np.ndarray, counts2: np.ndarray) -> bool:
+    """Whether two multisets with sorted items have a similarity of at least LINK."""
     low, high = LINK
-    size = nodes.select("node", "size")
-    # Written down, a short list of pairs is known to be short, and the multisets, which
-    # are the larger side by far, are not shuffled for it.
-    pairs = hand_over(pairs, "pairs")
-    sized = (
-        pairs.join(size.withColumnsRenamed({"node": "a", "size": "size_a"}), "a")
-        .join(size.withColumnsRenamed({"node": "b", "size": "size_b"}), "b")
-        .where(f"{high} * least(size_a, size_b) >= {low} * greatest(size_a, size_b)")
+    if high * min(size, size2) < low * max(size, size2):
+        return False
+    place = np.searchsorted(items, items2)
+    place[place == len(items)] = 0
+    hit = items[place] == items2
+    common = int(np.minimum(counts[place[hit]], counts2[hit]).sum())
+    return (low + high) * common >= low * (size + size2)
+
+
+@F.pandas_udf(T.BooleanType())
+def alike_rows(
+    size_a: pd.Series, items_a: pd.Series, counts_a: pd.Series,
+    size_b: pd.Series, items_b: pd.Series, counts_b: pd.Series,
+) -> pd.Series:
+    return pd.Series(
+        [alike(*row) for row in zip(size_a, items_a, counts_a, size_b, items_b, counts_b, strict=True)], dtype=bool
     )
-    sized = hand_over(sized, "sized")
-    both = (
-        sized.join(sets.withColumnsRenamed({"node": "a", "items": "items_a"}), "a")
-        .join(sets.withColumnsRenamed({"node": "b", "items": "items_b"}), "b")
-    )
-    common = F.size(F.array_intersect("items_a", "items_b"))
-    total = F.col("size_a") + F.col("size_b")
-    return both.where((low + high) * common >= low * total).select("a", "b")
 
 
-def node_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose multisets overlap enough."""
+
+    def of(side: str) -> DataFrame:
+        return sets.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "items", "counts")])
+
+    both = pairs.join(of("a"), F.col("a") == F.col("node_a")).join(of("b"), F.col("b") == F.col("node_b"))
+    columns = [f"{c}_{side}" for side in "ab" for c in ("size", "items", "counts")]
+    return both.where(alike_rows(*columns)).select("a", "b")
+
+
+def block_rows(open_: DataFrame) -> DataFrame:
+    """(bucket, node, component) -> rows of blocks (bucket, chunk, part): side 0 is held, side 1 streams.
+
+    A node outside the largest component is held in one chunk, for every part; each node
+    streams once for every chunk that has to see it, so pairs of held nodes meet once.
+    """
+    sizes = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+    rows = open_.join(main.where("main.n < all"), "bucket").withColumns(
+        {
+            "outside": F.col("component") != F.col("main.component"),
+            "chunks": F.ceil((F.col("all") - F.col("main.n")) / CHUNK).cast("int"),
+            "parts": F.ceil(F.col("all") / PART).cast("int"),
+        }
+    )
+    own = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks").cast("long")).cast("int")
+    part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts").cast("long")).cast("int")
+    rows = rows.withColumns({"own": F.when(F.col("outside"), own).otherwise(F.col("chunks") - 1), "part": part})
+
+    def place(chunk, part, side):
+        return F.struct(chunk.alias("chunk"), part.alias("part"), F.lit(side).alias("side"))
+
+    held = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: place(F.col("own"), p, 0))
+    passing = F.transform(F.sequence(F.lit(0), F.col("own")), lambda c: place(c, F.col("part"), 1))
+    places = F.when(F.col("outside"), F.concat(held, passing)).otherwise(passing)
+    return rows.select("bucket", "node", "component", "outside", "own", F.inline(places))
+
+
+def block_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links between components, from sorted block rows; a link that follows from others is left out."""
+    key, held, stacked = None, [], None
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    for batch in batches:
+        links = []
+        for row in batch.itertuples(index=False):
+            if (row.bucket, row.chunk, row.part) != key:
+                key, held, stacked, parent = (row.bucket, row.chunk, row.part), [], None, {}
+            if row.side == 0:
+                held.append(row)
+                continue
+            if not held:
+                continue  # by chance no node was dealt to this chunk
+            if stacked is None:
+                stacked = (
+                    np.array([h.size for h in held]),
+                    np.array([h.component for h in held]),
+                    np.array([h.node for h in held]),
+                    np.stack([h.bands for h in held]),
+                )
+            sizes, components, nodes, bands = stacked
+            same = bands == np.asarray(row.bands)
+            first = same.argmax(axis=1)
+            # Nodes that share several buckets are compared in the first of them only.
+            here = same.any(axis=1) & (bands[np.arange(len(bands)), first] == row.bucket)
+            here &= components != row.component
+            if row.outside and row.own == row.chunk:
+                here &= nodes < row.node
+            low, high = LINK
+            here &= high * np.minimum(sizes, row.size) >= low * np.maximum(sizes, row.size)
+            for i in np.flatnonzero(here):
+                other = held[i]
+                one, two = root(row.component), root(other.component)
+                if one != two and alike(row.size, row.items, row.counts, other.size, other.items, other.counts):
+                    parent[one] = two
+                    links.append((min(row.node, other.node), max(row.node, other.node)))
+        yield pd.DataFrame(links, columns=["a", "b"])
+
+
+def node_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, component of all nodes that are linked; ``members`` has (bucket, node).
 
-    Pivots are taken in the order of ``rank``: nodes whose buckets hold many others come
-    first, as an original does among its copies, so that few pivots link a large group.
+    The weight of a node is how many nodes its buckets hold.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
     rank = F.struct((-F.col("weight")).alias("w"), "node").alias("rank")
-    members = hand_over(members.join(weight, "node").select("bucket", rank), "ranked")
-    centres = members.groupBy("bucket").agg(F.min("rank").alias("pivot"))
+    ranked = hand_over(members.join(weight, "node").select("bucket", rank), "ranked")
+    centres = ranked.groupBy("bucket").agg(F.min("rank").alias("pivot"))
     nearest = (
-        members.join(centres, "bucket").where("pivot < rank")
+        ranked.join(centres, "bucket").where("pivot < rank")
         .groupBy(F.col("rank.node").alias("b")).agg(F.min("pivot").alias("pivot"))
         .select(F.col("pivot.node").alias("a"), "b")
     )
-    links = hand_over(verified(nearest, nodes, sets), "links")
+    links = hand_over(verified(hand_over(nearest, "nearest"), sets), "links")
     labels = hand_over(connected_components(links, "a", "b"), "labels")
-    active = members
-    for turn in range(PIVOT_ROUNDS + 1):
-        placed = (
-            active.withColumn("node", F.col("rank.node")).join(labels, "node", "left")
-            .select("bucket", "rank", F.coalesce("component", "node").alias("component"))
-        )
-        mixed = (
-            placed.groupBy("bucket")
-            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .where("lo < hi")
-            .select("bucket")
-        )
-        open_ = hand_over(placed.join(mixed, "bucket"), "open")
-        if open_.isEmpty():
-            break
-        left, right = open_, open_
-        if turn < PIVOT_ROUNDS:
-            lot = F.pmod(F.xxhash64("rank.node"), F.lit(PIVOTS)).alias("lot")
-            first = open_.groupBy("bucket", lot).agg(F.min(F.struct("rank", "component")).alias("first"))
-            left = hand_over(first.select("bucket", "first.*"), "pivots")
-        one = left.select("bucket", F.col("rank").alias("pivot"), F.col("component").alias("of_pivot"))
-        across = right.join(one, "bucket").where("component != of_pivot AND rank != pivot")
-        node, pivot = F.col("rank.node"), F.col("pivot.node")
-        pairs = across.select(F.least(node, pivot).alias("a"), F.greatest(node, pivot).alias("b")).distinct()
-        more = hand_over(verified(pairs, nodes, sets), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = hand_over(connected_components(links, "a", "b"), "labels")
-        if turn < PIVOT_ROUNDS:
-            active = open_.select("bucket", "rank").join(left.select("bucket", "rank"), ["bucket", "rank"], "left_anti")
-    return labels
+    open_ = hand_over(
+        members.join(labels, "node", "left").select(
+            "bucket", "node", F.coalesce("component", "node").alias("component")
+        ),
+        "open",
+    )
+    blocks = hand_over(block_rows(open_), "blocks")
+    filled = (
+        blocks.join(sets, "node")
+        .repartition("bucket", "chunk", "part")
+        .sortWithinPartitions("bucket", "chunk", "part", "side", "node")
+    )
+    more = hand_over(filled.mapInPandas(block_links, "a long, b long"), "links")
+    return hand_over(connected_components(links.unionByName(more), "a", "b"), "labels")
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -300,21 +365,23 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = hand_over(each.join(shared, "bucket"), "members")
     candidates = hand_over(
-        members.select("node").distinct().join(nodes, "node").select("node", "first.doc_id", "first.mark"),
+        members.select("node").distinct().join(nodes, "node").select(
+            "node", "first.doc_id", "first.mark", "size", "bands"
+        ),
         "candidates",
     )
     texts = pick(docs, "doc_id", "text").withColumn("mark", F.xxhash64("text"))
     same = texts["doc_id"].eqNullSafe(candidates["doc_id"]) & (texts["mark"] == candidates["mark"])
-    items = per_text(multisets, "items array<bigint>")
+    multiset = per_text(multisets, "items array<bigint>, counts array<int>")
     sets = hand_over(
         texts.join(candidates, same)
-        .select("node", items(F.col("text")).alias("i"))
-        .select("node", "i.items")
+        .select("node", "size", "bands", multiset(F.col("text")).alias("m"))
+        .select("node", "size", "bands", "m.*")
         .groupBy("node")
-        .agg(F.first("items").alias("items")),
+        .agg(*[F.first(c).alias(c) for c in ("size", "bands", "items", "counts")]),
         "sets",
     )
-    labels = node_links(members, nodes, sets)
+    labels = node_links(members, sets)
     placed = hand_over(
         nodes.join(labels, "node", "left").select(
             "key", F.coalesce("component", "node").alias("component"), "first"

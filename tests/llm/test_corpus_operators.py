@@ -232,7 +232,7 @@ def test_near_classes_match_brute_force(spark, seed):
     assert Counter(r["class_id"] for r in got.values() if r["kept"]) == Counter(set(want.values()))
 
 
-def test_chains_need_the_later_pivots(spark, monkeypatch):
+def test_chains_need_the_blocks(spark, monkeypatch):
     """A drift whose ends are unlike, in one bucket each: all links must be found."""
     draw = random.Random(5)
     words = [f"v{i}" for i in range(200)]
@@ -241,9 +241,9 @@ def test_chains_need_the_later_pivots(spark, monkeypatch):
         rows.append((100 - i, " ".join(words)))
         at = draw.randrange(200)
         words = [*words[:at], f"n{i}", *words[at + 1 :]]
-    for rounds, pivots in ((0, 1), (1, 1), (2, 8)):
-        monkeypatch.setattr(neardup, "PIVOT_ROUNDS", rounds)
-        monkeypatch.setattr(neardup, "PIVOTS", pivots)
+    for chunk, part in ((1, 2), (3, 7), (256, 4096)):
+        monkeypatch.setattr(neardup, "CHUNK", chunk)
+        monkeypatch.setattr(neardup, "PART", part)
         got = neardup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert {r["doc_id"]: r["class_id"] for r in got} == brute_classes(rows)
 
