@@ -27,7 +27,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from helixspan.llm.texts import boxed, in_box, per_text, pick, unboxed
+from helixspan.llm.texts import boxed, in_box, per_text, pick, smallest, unboxed
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -306,16 +306,18 @@ def find_spans(texts: list[str | None], field: Field | None) -> list[tuple[list,
 
 
 def train(docs: DataFrame) -> Field | None:
-    """Fit on at most ``LEARN_DOCS`` documents with an @ or a +, smallest hashes first."""
-    texts = (
+    """Fit on at most ``LEARN_DOCS`` documents with an @ or digits, smallest hashes first.
+
+    The ids are chosen first; only the texts of the chosen ones reach the driver.
+    """
+    rich = (
         pick(docs, "doc_id", "text")
         .where(F.col("text").rlike(r"@[A-Za-z0-9]|\+[0-9]|[0-9]{4}"))
-        .withColumn("o", F.xxhash64("doc_id", F.lit("pii")))
-        .orderBy("o", F.xxhash64("text"))
-        .limit(LEARN_DOCS)
+        .withColumn("o", F.xxhash64("doc_id", F.xxhash64("text"), F.lit("pii")))
     )
-    rows = texts.select("o", "text").collect()
-    return fit([r["text"] for r in sorted(rows, key=lambda r: (r["o"], r["text"]))])
+    chosen = smallest(rich.select("o").distinct(), "o", LEARN_DOCS, rich.count())
+    rows = rich.join(F.broadcast(chosen), "o").select("o", "text").dropDuplicates(["o"])
+    return fit([r["text"] for r in sorted(rows.collect(), key=lambda r: (r["o"], r["text"]))])
 
 
 def finder(field: Field | None):
