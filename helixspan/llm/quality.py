@@ -9,7 +9,7 @@ documents relative to that of positives tends to the prior.
 
 Fitting takes at most ``N_POSITIVE`` and ``N_UNLABELLED`` documents, those with the
 smallest hash of their id, and only documents whose id belongs to the learning fold.
-Copies among them count once. Every document is scored.
+Copies among them count a few times only. Every document is scored.
 
 Defined cases: a null or empty text is scored by its measurements, which are zeros; a
 null id counts as empty text in the fold; labels that contradict each other count as no
@@ -27,11 +27,13 @@ from operator import eq
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from helixspan.llm.texts import WORD, boxed, in_box, per_text, pick, unboxed
+from helixspan.llm.texts import WORD, boxed, in_box, per_text, pick, smallest, unboxed
 
 N_POSITIVE, N_UNLABELLED = 3000, 6000
 #: Cuts per measurement, steps, step size, and shrinkage of the fit.
 CUTS, STEPS, RATE, SHRINK = 12, 400, 0.05, 2e-4
+#: Sampled documents with about the same measurements that count.
+ALIKE = 5
 #: Best share of scores looked at for the prior.
 LEAST_MASS = 0.05
 
@@ -151,10 +153,10 @@ def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int] | None = (3,
     )
     order = F.xxhash64(F.col("doc_id"), F.lit("quality"))
     trusted = marked.where("low = 1 AND high = 1").select("doc_id", order.alias("o"))
-    trusted = trusted.orderBy("o").limit(N_POSITIVE)
+    trusted = smallest(trusted, "o", N_POSITIVE, trusted.count())
     ids = texts.select("doc_id").distinct()
     others = ids.join(marked.select("doc_id"), "doc_id", "left_anti").select("doc_id", order.alias("o"))
-    others = others.orderBy("o").limit(N_UNLABELLED)
+    others = smallest(others, "o", N_UNLABELLED, ids.count())
     chosen = trusted.withColumn("p", F.lit(1)).unionByName(others.withColumn("p", F.lit(0)))
     measured = per_text(lambda: measure_all, "x array<double>")
     rows = (
@@ -175,12 +177,18 @@ def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int] | None = (3,
 
 
 def without_copies(x: np.ndarray) -> np.ndarray:
-    """One row for copies and near copies, in the order of the first.
+    """At most ``ALIKE`` rows with equal rounded measurements, the first ones, in order.
 
     A large group of copies that happens to be unlabelled says nothing about its quality.
     """
-    _, first = np.unique(np.round(x, 2), axis=0, return_index=True)
-    return x[np.sort(first)]
+    _, cell = np.unique(np.round(x, 2), axis=0, return_inverse=True)
+    seen: dict[int, int] = {}
+    keep = []
+    for i, c in enumerate(cell.ravel().tolist()):
+        seen[c] = seen.get(c, 0) + 1
+        if seen[c] <= ALIKE:
+            keep.append(i)
+    return x[keep]
 
 
 def measure_all(texts: list[str | None]) -> list[tuple]:

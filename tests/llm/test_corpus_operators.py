@@ -139,7 +139,7 @@ def test_hot_ids_are_cut_by_hash(spark):
 def quality_rows():
     draw = random.Random(2)
     docs, labels = [], []
-    for i in range(1500):
+    for i in range(4000):
         bad = draw.random() < 0.2
         words = prose(draw, draw.randrange(30, 200))
         if bad:
@@ -394,3 +394,13 @@ def test_blocks_reach_aliases_and_allow_goes_first(table):
 
 def test_no_pages(table):
     assert urls.filter_urls(table([], "page_id long, url string, html string")).count() == 0
+
+
+def test_smallest_hashes_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    from helixspan.llm.texts import smallest
+
+    rows = spark.range(200_000).select("id", F.xxhash64("id").alias("o"))
+    got = sorted(r["o"] for r in smallest(rows, "o", 50, 200_000).collect())
+    assert got == sorted(r["o"] for r in rows.collect())[:50]
