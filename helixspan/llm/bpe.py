@@ -18,13 +18,14 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, functions as F
 from tiktoken import Encoding
 
-from helixspan.llm.texts import pick
+from helixspan.llm.texts import SLICE, pick
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Characters of a leaf, ids of a leaf, and first width of a boundary window.
@@ -110,19 +111,20 @@ def encode_documents(docs: DataFrame, path: str | None = None, ids: bool = False
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoder(shared.value, pattern)
         names = [str(i) for i in range(max(shared.value.values()) + 1)]
+        columns = ["n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids]
         for batch in batches:
-            rows = []
-            for text in batch:
-                tokens = encode(enc, text) if isinstance(text, str) else []
-                written = " ".join(map(names.__getitem__, tokens))
-                row = (
-                    len(tokens),
-                    hashlib.sha256(written.encode()).hexdigest(),
-                    hashlib.sha256(decode(enc, tokens)).hexdigest(),
-                )
-                rows.append((*row, tokens) if ids else row)
-            columns = ["n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids]
-            yield pd.DataFrame(rows, columns=columns)
+            for at in range(0, len(batch), SLICE):
+                yield pd.DataFrame([row(enc, names, text) for text in batch.iloc[at : at + SLICE]], columns=columns)
+
+    def row(enc: Encoding, names: list[str], text) -> tuple:
+        tokens = encode(enc, text) if isinstance(text, str) else []
+        made = (
+            len(tokens),
+            hashlib.sha256(" ".join(map(names.__getitem__, tokens)).encode()).hexdigest(),
+            hashlib.sha256(decode(enc, tokens)).hexdigest(),
+        )
+        # As an array the ids take four bytes each until they are sent back.
+        return (*made, np.array(tokens, np.int32)) if ids else made
 
     return pick(docs, "doc_id", "text").select("doc_id", run("text").alias("made")).select(
         "doc_id", "made.*"
