@@ -129,13 +129,26 @@ class Scanner:
         coded = [[self.vocabulary[w] for w in words] for words in split]
         self.sizes = [len(words) for words in coded]
         self.automaton = Automaton(coded)
-        #: Phrases that end with the runs of a state.
-        self.whole = [
-            [n for n, end in ends if n < self.n_phrases and end == self.sizes[n]]
-            for ends in self.automaton.ends
-        ]
+        self.whole = self.phrases_of_states()
         self.short = min(self.sizes[: self.n_phrases], default=1)
 
+    def phrases_of_states(self) -> list[list[int]]:
+        """Phrases that the longest run of a state ends with.
+
+        A phrase belongs to the state that holds its whole run, and to all states whose
+        links lead there: their runs are longer and end with it.
+        """
+        size, link = self.automaton.length, self.automaton.link
+        whole: list[list[int]] = [[] for _ in size]
+        for state in sorted(range(1, len(size)), key=size.__getitem__):
+            own = [
+                n
+                for n, end in self.automaton.ends[state]
+                if n < self.n_phrases and end == self.sizes[n] and size[link[state]] < end <= size[state]
+            ]
+            whole[state] = own + whole[link[state]]
+        return whole
+
     def scan(self, text: str | None) -> tuple:
         words = WORDS.findall((text or "").encode().lower())
         places: list[tuple[int, int]] = []

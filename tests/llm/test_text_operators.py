@@ -182,6 +182,27 @@ def test_template_is_found_despite_edits():
     assert licenses.Scanner().scan("the rights to use copy and the software")[5] == ""
 
 
+def test_phrases_inside_templates_match_brute_force():
+    for text in [*licenses.TEMPLATES.values(), "the apache license version 2", " ".join(licenses.TEMPLATES.values())]:
+        assert licenses.Scanner().scan(text)[:5] == brute_phrases(text)
+    assert licenses.Scanner().scan("the apache license version 2")[4:6] == ("apache-2", "apache-2")
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    phrases=st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=4), min_size=1, max_size=4),
+    templates=st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=9), max_size=4),
+    words=st.lists(st.sampled_from("abcz"), max_size=25),
+)
+def test_phrases_that_end_longer_runs(phrases, templates, words):
+    """Phrases inside one another and inside templates, at every place exactly once."""
+    known = {" ".join(p): "x" for p in phrases}
+    scanner = licenses.Scanner(known, {f"t{i}": " ".join(t) for i, t in enumerate(templates)})
+    places = [i for p in known for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+    want = (len(words), len(places), min(places, default=None), max(places, default=None))
+    assert scanner.scan(" ".join(words))[:4] == want
+
+
 def test_licence_documents(odd, empty):
     rows = by_id(licenses.scan_licenses(odd))
     assert [r["n_words"] for r in rows][:2] == [0, 0] and rows[0]["first_word"] is None
