@@ -283,7 +283,7 @@ def find_spans(texts: list[str | None], field: Field | None) -> list[tuple[list,
     """(pattern spans, all spans) of each text; only texts with a digit or @ make a graph."""
     base = [base_spans(t) if t and MARKED.search(t) else [] for t in texts]
     added = defaultdict(list)
-    open_ = [i for i, t in enumerate(texts) if field and base[i]]
+    open_ = [i for i, t in enumerate(texts) if field and t and MARKED.search(t)]
     if open_:
         graph = Graph([texts[i] for i in open_], [base[i] for i in open_])
         chances = field.marginals(graph)

@@ -256,6 +256,17 @@ def test_field_joins_repeats_and_keeps_the_base():
     assert pii.find_spans([plain, None, ""], field) == [([], []), ([], []), ([], [])]
 
 
+def test_field_reads_texts_without_a_pattern_span():
+    field = pii.fit(LEARN)
+    for text, part in (
+        ("so (999) 555-1234 then (999) 555-1234 vv", "555-1234"),
+        ("oner.61@mail_9.example vv token", "oner.61@mail_9.example"),
+    ):
+        (base, spans), = pii.find_spans([text], field)
+        assert base == [] and {text[a:b] for a, _, b in spans} == {part}
+        assert part not in pii.masked(text, spans)
+
+
 def test_exact_marginals_on_a_tree():
     """Without loops message passing is exact: compare with the sum over all labellings."""
     import itertools
