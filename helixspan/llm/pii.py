@@ -153,6 +153,13 @@ class Graph:
             x[i, row] = 1
         return x
 
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """matrix() @ weights, each row summed in one order whatever other rows there are."""
+        sizes = np.array([len(row) for row in self.features], np.int64)
+        node = np.repeat(np.arange(len(sizes)), sizes)
+        feature = np.array([i for row in self.features for i in row], np.int64)
+        return gathered(weights[feature], node, len(self.features))
+
 
 N_FEATURES = 22
 
@@ -207,8 +214,12 @@ class Field:
         self.unary, self.chain, self.skip = unary, chain, skip
 
     def marginals(self, graph: Graph) -> np.ndarray:
-        """Loopy sum-product with damping; messages run along both directions of an edge."""
-        local = graph.matrix() @ self.unary
+        """Loopy sum-product with damping; messages run along both directions of an edge.
+
+        A text's messages rest once they all have settled, so a text gets the same
+        distributions whatever texts share its graph.
+        """
+        local = graph.scores(self.unary)
         base = np.array(graph.base, np.int64)
         matched = np.flatnonzero(base != OTHER)
         local[matched, base[matched]] += MATCH
@@ -227,15 +238,19 @@ class Field:
             done += 2 * n
         opposite = np.concatenate(opposite)
         messages = np.full((len(source), LABELS), -np.log(LABELS))
+        owner = np.array([number for number, _, _ in graph.where], np.int64)[source]
+        live = np.arange(len(source))
         for _ in range(ROUNDS):
             belief = local + gathered(messages, target, len(local))
-            out = belief[source] - messages[opposite]
-            joint = out[:, :, None] + tables
+            out = belief[source[live]] - messages[opposite[live]]
+            joint = out[:, :, None] + tables[live]
             top = joint.max(axis=1, keepdims=True)
             new = normal(np.log(np.exp(joint - top).sum(axis=1)) + top[:, 0, :])
-            moved = float(np.abs(new - messages).max())
-            messages = normal((1 - DAMPING) * new + DAMPING * messages)
-            if moved < 1e-3:
+            moved = np.zeros(owner.max() + 1)
+            np.maximum.at(moved, owner[live], np.abs(new - messages[live]).max(axis=1))
+            messages[live] = normal((1 - DAMPING) * new + DAMPING * messages[live])
+            live = live[moved[owner[live]] >= 1e-3]
+            if not len(live):
                 break
         return np.exp(normal(local + gathered(messages, target, len(local))))
 

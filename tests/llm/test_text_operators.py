@@ -296,6 +296,18 @@ def test_exact_marginals_on_a_tree():
     assert np.allclose(field.marginals(graph)[linked], total[linked], atol=5e-3)
 
 
+def test_a_text_is_read_alike_whatever_shares_its_slice():
+    import numpy as np
+
+    field = pii.fit(LEARN)
+    texts = ["zz 12 of ww", " ".join(f"{i % 3}555 4 +1 {i % 2}555" for i in range(40)), *LEARN[:9]]
+    alone = [field.marginals(pii.Graph([t], [pii.base_spans(t)])) for t in texts]
+    for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+        part = [texts[i] for i in order]
+        together = field.marginals(pii.Graph(part, [pii.base_spans(t) for t in part]))
+        assert np.array_equal(together, np.concatenate([alone[i] for i in order]))
+
+
 def test_masked_documents(table, odd, empty):
     rows = [(i, text, "en", "s", len(text)) for i, text in enumerate(LEARN)]
     docs = table(rows, DOCS)
