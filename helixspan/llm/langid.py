@@ -26,7 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from helixspan.llm.quality import fold
-from helixspan.llm.texts import pick
+from helixspan.llm.texts import per_text, pick
+from helixspan.session import hand_over
 
 WORDS = re.compile(r"[^\W\d_]+")
 DOCS_PER_LANGUAGE = 250
@@ -147,34 +148,43 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
     return marginal, pairs * move, begin, log_norm
 
 
-def sequences(texts: dict[str, list[list[str]]], seed: int = 1):
-    """Word sequences that switch between languages, with the language number of each word."""
+def segments(sizes: dict[str, list[int]], seed: int = 1) -> list[list[tuple[int, int, int, int]]]:
+    """Sequences of (language number, text number, first word, words) that switch between languages.
+
+    ``sizes`` has the number of words of each text by language.
+    """
     draw = random.Random(seed)
-    languages = sorted(texts)
-    words, tags, lengths = [], [], []
+    languages = sorted(sizes)
+    found = []
     for number in range(SEQUENCES):
-        before = len(words)
+        parts = []
         for _ in range(draw.randint(*SEGMENTS)):
             at = (number + draw.randrange(len(languages))) % len(languages)
-            source = draw.choice(texts[languages[at]])
-            size = min(len(source), draw.randint(*SEGMENT_WORDS))
-            start = draw.randrange(len(source) - size + 1)
-            words += source[start : start + size]
-            tags += [at] * size
-        lengths.append(len(words) - before)
-    return words, np.array(tags), np.array(lengths)
+            text = draw.choice(range(len(sizes[languages[at]])))
+            total = sizes[languages[at]][text]
+            size = min(total, draw.randint(*SEGMENT_WORDS))
+            parts.append((at, text, draw.randrange(total - size + 1), size))
+        found.append(parts)
+    return found
 
 
 def fit(texts: dict[str, list[list[str]]]) -> Model | None:
-    """Maximum likelihood with Adam; ``texts`` has word lists by language."""
+    """Learn from word lists by language."""
     texts = {lang: [w for w in found if w] for lang, found in texts.items()}
     texts = {lang: found for lang, found in texts.items() if found}
     if not texts:
         return None
     languages = sorted(texts)
-    k = len(languages)
     counts = Counter(w for found in texts.values() for doc in found for w in doc)
-    frequent = [w for w, c in counts.most_common(LEXICON) if c >= LEXICON_COUNT]
+    frequent = sorted((w for w, c in counts.items() if c >= LEXICON_COUNT), key=lambda w: (-counts[w], w))
+    plan = segments({lang: [len(doc) for doc in found] for lang, found in texts.items()})
+    parts = [[(at, texts[languages[at]][text][a : a + n]) for at, text, a, n in line] for line in plan]
+    return learn(languages, frequent[:LEXICON], parts)
+
+
+def learn(languages: list[str], frequent: list[str], parts: list[list[tuple[int, list[str]]]]) -> Model:
+    """Maximum likelihood with Adam; ``parts`` has the segments of each sequence."""
+    k = len(languages)
     model = Model(
         languages,
         np.zeros((BUCKETS, k)),
@@ -183,7 +193,9 @@ def fit(texts: dict[str, list[list[str]]]) -> Model | None:
         np.zeros((k, k)),
         np.zeros(k),
     )
-    words, tags, lengths = sequences(texts)
+    words = [w for line in parts for _, own in line for w in own]
+    tags = np.array([at for line in parts for at, own in line for _ in own])
+    lengths = np.array([sum(len(own) for _, own in line) for line in parts])
     numbers: dict[str, int] = {}
     codes = np.array([numbers.setdefault(w, len(numbers)) for w in words])
     types = list(numbers)
@@ -222,7 +234,11 @@ def fit(texts: dict[str, list[list[str]]]) -> Model | None:
 
 
 def train(docs: DataFrame, held: tuple[int, int] | None = (4, 2)) -> Model | None:
-    """Fit on a bounded number of documents of each language outside the held-out fold."""
+    """Fit on a bounded number of documents of each language outside the held-out fold.
+
+    The driver gets the number of words of each document, the lexicon and the words of the
+    drawn segments, at most SEQUENCES x 4 x 40; none of it grows with the length of the texts.
+    """
     outside = F.lit(True) if held is None else fold(F.col("doc_id"), held[0]) != held[1]
     usable = pick(docs, "doc_id", "text", "lang").where(outside).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = usable.groupBy("lang").count().withColumn(
@@ -234,11 +250,36 @@ def train(docs: DataFrame, held: tuple[int, int] | None = (4, 2)) -> Model | Non
     rows = near.groupBy("lang").agg(
         F.slice(F.array_sort(F.collect_set(F.struct("draw", "doc_id"))), 1, DOCS_PER_LANGUAGE).alias("ids")
     ).select("lang", F.inline("ids"))
-    texts: dict[str, list[list[str]]] = {}
     chosen = usable.join(F.broadcast(rows.select("lang", "doc_id").distinct()), ["lang", "doc_id"])
-    for row in chosen.dropDuplicates(["lang", "doc_id"]).orderBy("lang", "doc_id").toLocalIterator():
-        texts.setdefault(row["lang"], []).append(words_of(row["text"]))
-    return fit(texts)
+    split = per_text(lambda: lambda texts: [(words_of(t),) for t in texts], "words array<string>")
+    # Written down, so that all that follows reads the same texts; their words stay in the tasks.
+    table = hand_over(
+        chosen.dropDuplicates(["lang", "doc_id"]).select("lang", "doc_id", split("text")["words"].alias("words"))
+    ).where(F.size("words") > 0)
+    ids: dict[str, list[tuple]] = {}
+    for row in table.select("lang", "doc_id", F.size("words").alias("n")).orderBy("lang", "doc_id").collect():
+        ids.setdefault(row["lang"], []).append((row["doc_id"], row["n"]))
+    if not ids:
+        return None
+    each = table.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= LEXICON_COUNT)
+    frequent = [r["w"] for r in each.orderBy(F.desc("count"), "w").limit(LEXICON).collect()]
+    languages = sorted(ids)
+    plan = segments({lang: [n for _, n in found] for lang, found in ids.items()})
+    wanted = [
+        (languages[at], ids[languages[at]][text][0], line, place, a + 1, n)
+        for line, found in enumerate(plan)
+        for place, (at, text, a, n) in enumerate(found)
+    ]
+    kind = table.schema["doc_id"].dataType.simpleString()
+    places = docs.sparkSession.createDataFrame(
+        wanted, f"lang string, doc_id {kind}, line int, place int, a int, n int"
+    )
+    cut = table.join(F.broadcast(places), ["lang", "doc_id"]).select(
+        "line", "place", F.expr("slice(words, a, n)").alias("own")
+    )
+    own = {(r["line"], r["place"]): r["own"] for r in cut.collect()}
+    parts = [[(at, own[line, place]) for place, (at, *_) in enumerate(found)] for line, found in enumerate(plan)]
+    return learn(languages, frequent, parts)
 
 
 class Labeller:

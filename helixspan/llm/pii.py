@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -259,25 +259,42 @@ def gathered(messages: np.ndarray, target: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(target, messages[:, j], n) for j in range(LABELS)], axis=1)
 
 
+def patterns(texts: list[str]) -> Counter:
+    """How many nodes of the texts have the same features, kind and kinds around.
+
+    A pattern is (features as bits, kind, kind of the node before, after, of the last and
+    the next repeat); a node has at most one neighbour of each sort, OTHER + 1 means none.
+    """
+    graph = Graph(texts, [base_spans(text) for text in texts])
+    labels = np.array(graph.base, np.int64)
+    around = np.full((len(labels), 4), LABELS, np.int64)
+    for i, edges in enumerate((graph.chain, graph.skip)):
+        around[edges[:, 1], 2 * i] = labels[edges[:, 0]]
+        around[edges[:, 0], 2 * i + 1] = labels[edges[:, 1]]
+    bits = [sum(1 << i for i in row) for row in graph.features]
+    return Counter(zip(bits, graph.base, *around.T.tolist(), strict=True))
+
+
 def fit(texts: list[str]) -> Field | None:
-    """Pseudo-likelihood: each token given its features and its neighbours' labels."""
-    spans = [base_spans(text) for text in texts]
-    if not any(spans):
+    return learn(patterns(texts))
+
+
+def learn(found: Counter) -> Field | None:
+    """Pseudo-likelihood: each token given its features and its neighbours' labels.
+
+    Nodes with the same pattern add the same, so their numbers are all that is needed.
+    """
+    rows = np.array(sorted(found), np.int64).reshape(-1, 6)
+    labels = rows[:, 1]
+    if not (labels != OTHER).any():
         return None
-    graph = Graph(texts, spans)
-    labels = np.array(graph.base, np.int64)
-    n = len(labels)
-    neighbours = []
-    for edges in (graph.chain, graph.skip):
-        counts = np.zeros((n, 2 * LABELS))
-        np.add.at(counts, (edges[:, 1], labels[edges[:, 0]]), 1)
-        np.add.at(counts, (edges[:, 0], LABELS + labels[edges[:, 1]]), 1)
-        neighbours.append(counts)
-    full = np.hstack([graph.matrix(), *neighbours])
+    count = np.array([found[tuple(row)] for row in rows.tolist()], float)
+    sides = np.eye(LABELS + 1)[:, :LABELS]
+    full = np.hstack([(rows[:, :1] >> np.arange(N_FEATURES)) & 1, *(sides[rows[:, 2 + i]] for i in range(4))])
     truth = np.eye(LABELS)[labels]
     # Rare kinds weigh more, so that the many plain tokens don't drown them.
-    sizes = np.bincount(labels, minlength=LABELS)
-    weight = (1 / np.sqrt(np.maximum(sizes, 1)))[labels]
+    sizes = np.bincount(labels, count, LABELS)
+    weight = count * (1 / np.sqrt(np.maximum(sizes, 1)))[labels]
     weight /= weight.sum()
     w, m, v = (np.zeros((full.shape[1], LABELS)) for _ in range(3))
     for t in range(1, EPOCHS + 1):
@@ -323,7 +340,8 @@ def find_spans(texts: list[str | None], field: Field | None) -> list[tuple[list,
 def train(docs: DataFrame) -> Field | None:
     """Fit on at most ``LEARN_DOCS`` documents with an @ or digits, smallest hashes first.
 
-    The ids are chosen first; only the texts of the chosen ones reach the driver.
+    The ids are chosen first. Their texts stay in the tasks: the driver gets how often each
+    pattern of a node occurs, which does not grow with the length of the texts.
     """
     rich = (
         pick(docs, "doc_id", "text")
@@ -331,8 +349,16 @@ def train(docs: DataFrame) -> Field | None:
         .withColumn("o", F.xxhash64("doc_id", F.xxhash64("text"), F.lit("pii")))
     )
     chosen = smallest(rich.select("o").distinct(), "o", LEARN_DOCS, rich.count())
-    rows = rich.join(F.broadcast(chosen), "o").select("o", "text").dropDuplicates(["o"])
-    return fit([r["text"] for r in sorted(rows.collect(), key=lambda r: (r["o"], r["text"]))])
+    texts = rich.join(F.broadcast(chosen), "o").select("o", "text").dropDuplicates(["o"])
+    run = per_text(lambda: count_patterns, "patterns array<array<bigint>>, n array<bigint>")
+    each = texts.select(run("text").alias("p")).select(F.inline(F.arrays_zip("p.patterns", "p.n")))
+    rows = each.groupBy("patterns").agg(F.sum("n").alias("n")).collect()
+    return learn(Counter({tuple(r["patterns"]): r["n"] for r in rows}))
+
+
+def count_patterns(texts: list[str | None]) -> list[tuple]:
+    found = [patterns([text or ""]) for text in texts]
+    return [([list(p) for p in f], list(f.values())) for f in found]
 
 
 def finder(field: Field | None):

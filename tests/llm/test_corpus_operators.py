@@ -404,3 +404,14 @@ def test_smallest_hashes_are_exact(spark):
     rows = spark.range(200_000).select("id", F.xxhash64("id").alias("o"))
     got = sorted(r["o"] for r in smallest(rows, "o", 50, 200_000).collect())
     assert got == sorted(r["o"] for r in rows.collect())[:50]
+
+
+def test_texts_to_learn_from_stay_in_the_tasks(table, to_driver):
+    draw = random.Random(3)
+    words = {lang: ["".join(draw.choices(letters, k=6)) for _ in range(300)] for lang, letters in (("aa", "abcd"), ("bb", "wxyz"))}
+    rows = [(i, " ".join(draw.choices(words[lang], k=200_000)), lang, "s", 0) for i in range(2) for lang in words]
+    model = langid.train(table(rows, DOCS), held=None)
+    assert to_driver() < 2_500_000
+    texts = {lang: [langid.words_of(r[1]) for r in rows if r[2] == lang] for lang in words}
+    same = langid.fit(texts)
+    assert model.lexicon == same.lexicon and (model.grams == same.grams).all()

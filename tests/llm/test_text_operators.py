@@ -308,6 +308,14 @@ def test_a_text_is_read_alike_whatever_shares_its_slice():
         assert np.array_equal(together, np.concatenate([alone[i] for i in order]))
 
 
+def test_texts_to_learn_from_stay_in_the_tasks(table, to_driver):
+    rows = [(i, f"{text} so on " * 2000, "en", "s", 0) for i, text in enumerate(LEARN[:6])]
+    field = pii.train(table(rows, DOCS))
+    assert to_driver() < 100_000
+    same = pii.fit([r[1] for r in rows])
+    assert abs(field.unary - same.unary).max() < 1e-9 and abs(field.skip - same.skip).max() < 1e-9
+
+
 def test_masked_documents(table, odd, empty):
     rows = [(i, text, "en", "s", len(text)) for i, text in enumerate(LEARN)]
     docs = table(rows, DOCS)
