@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixspan.llm import bpe, iblt, langid, licenses, mixing, neardup, pii, quality, rules, urls
+from helixspan.llm import (
+    alignment, bpe, fim, iblt, langid, licenses, mixing, neardup, pii, quality, rules, urls,
+)
 from helixspan.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op6_rule_ledger": rules.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op6_rule_ledger": rules.ORACLE, "op12_fim": fim.ORACLE}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -68,3 +70,13 @@ def op8_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
+
+
+@query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
+@query
+def op12_fim(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digest_table(table(spark, folder, "documents"))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts that one call of a text function gets; the result of a slice is small.
 SLICE = 512
+#: Characters of the texts that are worked off together, where slices go by size.
+SLICE_CHARS = 1 << 22
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,6 +74,18 @@ def smallest(df: DataFrame, order: str, n: int, rows: int) -> DataFrame:
     return df.where(F.col(order) <= bar).orderBy(order).limit(n)
 
 
+def parts_by_size(texts: pd.Series, chars: int = SLICE_CHARS) -> Iterator[range]:
+    """Positions of consecutive texts of about ``chars`` characters, one text at least."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text) if isinstance(text, str) else 0
+        if size >= chars:
+            yield range(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield range(start, len(texts))
+
+
 def per_text(
     make: Callable[[], Callable[[list[str | None]], list[tuple]]], schema: str
 ) -> Callable[..., Column]:

@@ -1,0 +1,197 @@
+"""Token links of two tokenizers against a plain loop over whole texts."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from helixspan.llm import alignment
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+TEXTS = [
+    (1, "the quick brown fox jumps over the lazy dog"),
+    (2, "the quick brown fox  jumps\n\nover   the lazy dog "),
+    (2, "the quick brown fox  jumps\n\nover   the lazy dog "),
+    (None, " leading and trailing  "),
+    (4, None),
+    (5, ""),
+    (6, " "),
+    (7, "   \t \n "),
+    (8, "ünï cödé 漢字漢字 \U0001f600! it's <s> </s> <unk> <|endoftext|> <0x41>"),
+    (9, "a piece▁sign cannot be spelled out"),
+    (10, "café 12345 ... ''' x y 　z \x1c w \x85 v"),
+    (2**53 + 1, "lorem ipsum " * 4000),
+    (12, "x" * 3000 + " 漢" * 500),
+]
+
+
+def tokenizers():
+    first = Tokenizer.from_file(public_tokenizers.path(alignment.FIRST))
+    first.encode_special_tokens = True
+    return first, SentencePieceProcessor(model_file=public_tokenizers.path(alignment.SECOND))
+
+
+def whole_text(first, second, text):
+    """(a ids, their bytes, b ids, their bytes) of a text as a whole."""
+    bytes_of = {c: b for c, b in alignment.byte_letters().items()}
+    a = first.encode(" " + text, add_special_tokens=False).ids
+    b = second.encode(text)
+    a_bytes = [bytes(bytes_of[c] for c in first.id_to_token(i)) for i in a]
+    b_bytes = [
+        bytes([int(second.id_to_piece(i)[3:5], 16)]) if second.is_byte(i) else second.id_to_piece(i).replace("▁", " ").encode()
+        for i in b
+    ]
+    return a, a_bytes, b, b_bytes
+
+
+def brute(rows):
+    first, second = tokenizers()
+    found, counts = [], Counter()
+    for doc_id, text in rows:
+        links, groups = [], []
+        a = b = []
+        if text:
+            a, a_bytes, b, b_bytes = whole_text(first, second, text)
+            want = (" " + text).encode()
+            if b"".join(a_bytes) != want or b"".join(b_bytes) != want:
+                a = b = []
+        if a:
+            owner = []
+            for lengths in (a_bytes, b_bytes):
+                owner.append([i for i, x in enumerate(lengths) for _ in x])
+            pairs = list(dict.fromkeys(zip(*owner, strict=True)))
+            links = [(a[i], b[j]) for i, j in pairs]
+            ends = [set(np.cumsum([len(x) for x in side]).tolist()) for side in (a_bytes, b_bytes)]
+            at = [0, 0]
+            for cut in sorted(ends[0] & ends[1]):
+                sides = []
+                for k, (ids, spelled) in enumerate(((a, a_bytes), (b, b_bytes))):
+                    part, upto = [], sum(map(len, spelled[: at[k]]))
+                    while upto < cut:
+                        part.append(str(ids[at[k]]))
+                        upto += len(spelled[at[k]])
+                        at[k] += 1
+                    sides.append(",".join(part))
+                groups.append("|".join(sides))
+        counts.update(set(links))
+        found.append((doc_id, a, b, groups, links))
+    most = defaultdict(int)
+    for (i, _), n in counts.items():
+        most[i] = max(most[i], n)
+    return counts, [
+        (
+            doc_id, len(a), len(b), len(groups), len(links),
+            sum(counts[x] == most[x[0]] for x in links), sum(counts[x] for x in links),
+            hashlib.sha256(";".join(groups).encode()).hexdigest() if a else "",
+        )
+        for doc_id, a, b, groups, links in found
+    ]
+
+
+def short(rows):
+    """Without the longest text, whose group loop is quadratic above."""
+    return [r for r in rows if len(r[1] or "") < 10_000]
+
+
+def order(rows):
+    return sorted(map(tuple, rows), key=lambda r: (r[0] is None, r[0] or 0, r))
+
+
+def frame(table, rows):
+    docs = [(i, t, "en", "a", 0, "other", 3) for i, t in rows]
+    return table(docs, f"{DOCS}, `Text` string, n_a int")
+
+
+@pytest.fixture
+def small_runs(monkeypatch):
+    """Many runs of few links, small blocks and merges of two."""
+    monkeypatch.setattr(alignment, "RUN_LINKS", 60)
+    monkeypatch.setattr(alignment, "BLOCK", 7)
+
+
+def test_every_column_matches_the_plain_loop(table):
+    rows = short(TEXTS)
+    counts, want = brute(rows)
+    assert order(alignment.align(frame(table, rows)).collect()) == order(want)
+    found = alignment.pair_counts(frame(table, rows)).collect()
+    assert {(r["a_id"], r["b_id"]): r["documents"] for r in found} == dict(counts)
+
+
+def test_runs_are_merged_in_levels(table, monkeypatch):
+    rows = [(i, f"the {i % 7} quick brown fox {i % 3} jumps") for i in range(60)]
+    docs = frame(table, rows).repartition(13)
+    monkeypatch.setattr(alignment, "FAN", 3)
+    _, want = brute(rows)
+    assert order(alignment.align(docs).collect()) == order(want)
+    pieces = alignment.spilled(docs).where("kind = 'piece'").select("run", "radix", "pairs")
+    n_runs, counted = alignment.count_pairs(pieces, fan=3)
+    assert n_runs > 9 and counted.count() == counted.select("radix").distinct().count()
+
+
+def test_a_task_spills_several_runs(small_runs):
+    import pandas as pd
+
+    rows = short(TEXTS)
+    batch = pd.DataFrame({"doc_id": [str(i) for i, _ in rows], "text": [t for _, t in rows]})
+    parts = alignment.parts_by_size
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(alignment, "parts_by_size", lambda texts: parts(texts, 1))
+        patch.setattr(alignment.TaskContext, "get", classmethod(lambda cls: type("C", (), {"partitionId": lambda s: 5})()))
+        paths = tuple(public_tokenizers.path(p) for p in (alignment.FIRST, alignment.SECOND))
+        made = pd.concat(list(alignment.make_runs(paths)(iter([batch]))))
+    pieces = made[made["kind"] == "piece"]
+    assert pieces["run"].nunique() >= 3 and (pieces["run"] // (1 << 32) == 5).all()
+    total = Counter()
+    for data in pieces["pairs"]:
+        pairs, docs = alignment.unpacked(data)
+        total.update(dict(zip(pairs.tolist(), docs.tolist(), strict=True)))
+    assert sum(total.values()) == sum(brute(rows)[0].values())
+
+
+def test_documents_without_tokens_and_empty_tables(table):
+    found = alignment.align(frame(table, [(1, None), (2, ""), (3, "▁")])).collect()
+    assert sorted(map(tuple, found)) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2, 3)]
+    assert alignment.align(table([], DOCS)).count() == 0
+
+
+def test_a_long_text_counts_once_per_pair(table):
+    text = "lorem ipsum " * 40_000
+    row = alignment.align(frame(table, [(2**53 + 1, text)])).first()
+    assert row["doc_id"] == 2**53 + 1
+    assert row["count_sum"] == row["n_links"] >= row["n_groups"] > 80_000
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("ab  \n\t'.1é漢▁　"), st.characters(exclude_categories=["Cs"])), max_size=60))
+def test_words_are_encoded_as_the_whole_text_is(text):
+    first, second = tokenizers()
+    words = test_words_are_encoded_as_the_whole_text_is.__dict__.setdefault(
+        "words", alignment.Words(*(public_tokenizers.path(p) for p in (alignment.FIRST, alignment.SECOND)))
+    )
+    if not text:
+        return
+    a, b = [], []
+    for word in words.cut(text):
+        a += words.first.encode(word, add_special_tokens=False).ids
+        b += words.second.encode(word[1:])
+    assert a == first.encode(" " + text, add_special_tokens=False).ids
+    assert b == second.encode(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.dictionaries(st.integers(0, 40), st.integers(1, 9)), max_size=6))
+def test_merged_pieces_are_the_sum(pieces):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(alignment, "BLOCK", 4)
+        data = [alignment.packed(*(np.array(c) for c in zip(*sorted(p.items()), strict=True))) for p in pieces if p]
+        found = [x for keys, counts in alignment.merged(data) for x in zip(keys.tolist(), counts.tolist(), strict=True)]
+    want = Counter()
+    for p in pieces:
+        want.update(p)
+    assert found == sorted(want.items())
