@@ -62,6 +62,9 @@ BLOCK = 1 << 16
 MEMORY = 1 << 22
 #: A space after a visible ASCII character, a letter or a digit, and before anything.
 CUT = re.compile(r"(?s)(?<=[\w!-~])(?= .)")
+CLOSED = re.compile(r"[\w!-~]")
+#: Characters of new words that are encoded as one text.
+TOGETHER = 1 << 16
 SPACE = "▁"
 
 
@@ -168,29 +171,6 @@ def check_cuts(second: dict[int, bytes]) -> None:
             raise ValueError(f"entry {i} reaches over a space: words can't be encoded by themselves")
 
 
-def links(
-    a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Linked ids, one pair per stretch between neighbouring ends of any token."""
-    ends = np.union1d(a_ends, b_ends)
-    return a_ids[np.searchsorted(a_ends, ends)], b_ids[np.searchsorted(b_ends, ends)]
-
-
-def group_text(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> tuple[int, str]:
-    """Number of groups and their text, `a1,a2|b1;a3|b2,b3`."""
-    common = set(a_ends).intersection(b_ends)
-    sides = []
-    for ids, ends in ((a_ids, a_ends), (b_ids, b_ends)):
-        groups, now = [], []
-        for i, end in zip(ids, ends, strict=True):
-            now.append(str(i))
-            if end in common:
-                groups.append(",".join(now))
-                now = []
-        sides.append(groups)
-    return len(common), ";".join(map("|".join, zip(*sides, strict=True)))
-
-
 class Words:
     """Both tokenizations of words, remembered until they take too much memory."""
 
@@ -199,8 +179,12 @@ class Words:
         self.first = Tokenizer.from_file(first)
         self.first.encode_special_tokens = True
         self.second = SentencePieceProcessor(model_file=second)
-        self.first_bytes, self.second_bytes = first_bytes(self.first), second_bytes(self.second)
-        check_cuts(self.second_bytes)
+        spelled = first_bytes(self.first), second_bytes(self.second)
+        check_cuts(spelled[1])
+        self.bytes = [[side.get(i, b"") for i in range(max(side) + 1)] for side in spelled]
+        self.lengths = [np.array([len(x) for x in side]) for side in self.bytes]
+        # Decimal ids with what follows them in the text of the groups.
+        self.marked = [f"{i}{c}" for n, marks in zip(map(len, self.bytes), (",|", ",;"), strict=True) for c in marks for i in range(n)]
         self.clear()
 
     def clear(self) -> None:
@@ -213,37 +197,86 @@ class Words:
 
     def cut(self, text: str) -> list[str]:
         """The words of space + text, each with the space before it."""
-        whole = " " + text
-        edges = [0, *(m.start() for m in CUT.finditer(whole)), len(whole)]
-        return [whole[a:b] for a, b in zip(edges, edges[1:])]
+        return CUT.split(" " + text)
 
     def look_up(self, words: list[str]) -> list[int]:
         new = [w for w in dict.fromkeys(words) if w not in self.places]
-        if new:
-            a_all = [e.ids for e in self.first.encode_batch_fast(new, add_special_tokens=False)]
-            b_all = self.second.encode([w[1:] for w in new], num_threads=1)
-            for word, a_ids, b_ids in zip(new, a_all, b_all, strict=True):
-                self.add(word, a_ids, b_ids)
-        return [self.places[w] for w in words]
-
-    def add(self, word: str, a_ids: list[int], b_ids: list[int]) -> None:
-        spelled = word.encode("utf-8", "surrogatepass")
-        a = [self.first_bytes[i] for i in a_ids]
-        b = [self.second_bytes[i] for i in b_ids]
-        fits = b"".join(a) == spelled and b"".join(b) == spelled
+        # Words that end in a blank can't be told from the space of the next one.
+        closed = [w for w in new if CLOSED.match(w[-1])]
+        now, size = [], 0
+        for word in closed:
+            now.append(word)
+            size += len(word)
+            if size >= TOGETHER:
+                self.add(now)
+                now, size = [], 0
+        self.add(now)
+        for word in set(new).difference(closed):
+            self.add([word])
+        return list(map(self.places.__getitem__, words))
+
+    def add(self, words: list[str]) -> None:
+        """Learn words by encoding them as one text; the half with a word that can't be spelled is found by splitting."""
+        if not words:
+            return
+        text = "".join(words)
+        ids = [
+            np.array(self.first.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64),
+            np.array(self.second.encode(text[1:], num_threads=1), np.int64),
+        ]
+        whole = text.encode()
+        fits = all(b"".join(map(t.__getitem__, i.tolist())) == whole for t, i in zip(self.bytes, ids, strict=True))
         if fits:
-            a_ends, b_ends = np.cumsum([len(x) for x in a]), np.cumsum([len(x) for x in b])
-            n_groups, text = group_text(a_ids, a_ends.tolist(), b_ids, b_ends.tolist())
-            one, two = links(np.array(a_ids), a_ends, np.array(b_ids), b_ends)
-            made = (turned(one) << ID_BITS) | two
+            self.keep(words, ids)
+        elif len(words) == 1:
+            self.append(words, [0, 0, 0, 0], [""], np.zeros(0, np.int64), False)
         else:
-            a_ids, b_ids, n_groups, text, made = [], [], 0, "", np.zeros(0, np.int64)
-        self.places[word] = len(self.texts)
-        self.sizes.extend((len(a_ids), len(b_ids), n_groups, len(made)))
-        self.texts.append(text)
-        self.pairs.frombytes(made.astype(np.int64).tobytes())
-        self.spelled.append(fits)
-        self.chars += len(word)
+            self.add(words[: len(words) // 2])
+            self.add(words[len(words) // 2 :])
+
+    def keep(self, words: list[str], ids: list[np.ndarray]) -> None:
+        ends = [np.cumsum(n[i]) for n, i in zip(self.lengths, ids, strict=True)]
+        cuts = np.intersect1d(*ends, assume_unique=True)
+        word_ends = np.cumsum([len(w.encode()) for w in words])
+        if not np.isin(word_ends, cuts).all():
+            raise ValueError("a token reaches over the end of a word")
+        either, one, two = links(ids[0], ends[0], ids[1], ends[1])
+        upto = [np.searchsorted(e, word_ends, "right") for e in (*ends, cuts, either)]
+        sizes = np.stack([np.diff(u, prepend=0) for u in upto], axis=1)
+        text = self.marked_ids(ids, ends, cuts)
+        edges = [0, *(upto[0] + upto[1]).tolist()]
+        texts = ["".join(text[a:b]) for a, b in zip(edges, edges[1:])]
+        self.append(words, sizes.ravel().tolist(), texts, (turned(one) << ID_BITS) | two, True)
+
+    def marked_ids(self, ids: list[np.ndarray], ends: list[np.ndarray], cuts: np.ndarray) -> list[str]:
+        """Ids as `a1,` `a2|` `b1;`: within a group those of the first tokenizer come first."""
+        group = [np.searchsorted(cuts, e) for e in ends]
+        upto = [np.concatenate([[0], np.searchsorted(e, cuts, "right")]) for e in ends]
+        merged_ids = np.empty(sum(map(len, ids)), np.int64)
+        base = 0
+        for side in (0, 1):
+            at = np.arange(len(ids[side])) + upto[1 - side][group[side] + side]
+            n = len(self.bytes[side])
+            merged_ids[at] = base + ids[side] + n * (ends[side] == cuts[group[side]])
+            base += 2 * n
+        return list(map(self.marked.__getitem__, merged_ids.tolist()))
+
+    def append(self, words, sizes, texts, pairs, fits: bool) -> None:
+        start = len(self.texts)
+        self.places.update(zip(words, range(start, start + len(words)), strict=True))
+        self.sizes.extend(sizes)
+        self.texts += texts
+        self.pairs.frombytes(pairs.astype(np.int64).tobytes())
+        self.spelled += [fits] * len(words)
+        self.chars += sum(map(len, words))
+
+
+def links(
+    a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends of the stretches between neighbouring ends of any token, and the ids linked in each."""
+    ends = np.union1d(a_ends, b_ends)
+    return ends, a_ids[np.searchsorted(a_ends, ends)], b_ids[np.searchsorted(b_ends, ends)]
 
 
 def turned(ids: np.ndarray) -> np.ndarray:
@@ -296,17 +329,21 @@ def make_runs(paths: tuple[str, str]) -> Callable[[Iterator[pd.DataFrame]], Iter
             yield rows.assign(kind="piece", run=number)
 
     def described(words: Words, batch: pd.DataFrame, part: range, place: int):
-        at, counts, digests = [], [], []
+        cuts = []
         for i in part:
             text = batch["text"].iat[i]
-            here = words.look_up(words.cut(text)) if isinstance(text, str) and text else []
+            cuts.append(words.cut(text) if isinstance(text, str) and text else [])
+        at = words.look_up([w for cut in cuts for w in cut])
+        word_of, counts, digests, start = [], [], [], 0
+        for cut in cuts:
+            here, start = at[start : start + len(cut)], start + len(cut)
             if not all(map(words.spelled.__getitem__, here)):
                 here = []
-            at.append(np.array(here, np.int64))
+            word_of += here
             counts.append(len(here))
-            line = ";".join(map(words.texts.__getitem__, here))
+            line = "".join(map(words.texts.__getitem__, here))[:-1]
             digests.append(hashlib.sha256(line.encode()).hexdigest() if here else "")
-        word, doc = np.concatenate(at), np.repeat(np.arange(len(part)), counts)
+        word, doc = np.array(word_of, np.int64), np.repeat(np.arange(len(part)), counts)
         sizes, store = (np.array(held, np.int64) for held in (words.sizes, words.pairs))
         sizes = sizes.reshape(-1, 4)
         totals = np.zeros((len(part), 4), np.int64)
