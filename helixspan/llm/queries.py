@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from helixspan.llm import (
-    alignment, bpe, fim, iblt, langid, licenses, mixing, neardup, pii, quality, rules, urls,
+    alignment, bpe, fim, iblt, langid, licenses, mixing, neardup, pii, quality, rules, simhash, urls,
 )
 from helixspan.llm.texts import table
 
@@ -80,3 +80,8 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_fim(spark: SparkSession, folder: str) -> DataFrame:
     return fim.digest_table(table(spark, folder, "documents"))
+
+
+@query
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_components(table(spark, folder, "documents"))

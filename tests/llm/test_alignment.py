@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -30,12 +31,18 @@ TEXTS = [
 ]
 
 
+@cache
 def tokenizers():
     first = Tokenizer.from_file(public_tokenizers.path(alignment.FIRST))
     first.encode_special_tokens = True
     return first, SentencePieceProcessor(model_file=public_tokenizers.path(alignment.SECOND))
 
 
+@cache
+def remembered():
+    return alignment.Words(*(public_tokenizers.path(p) for p in (alignment.FIRST, alignment.SECOND)))
+
+
 def whole_text(first, second, text):
     """(a ids, their bytes, b ids, their bytes) of a text as a whole."""
     bytes_of = {c: b for c, b in alignment.byte_letters().items()}
@@ -171,11 +178,9 @@ def test_a_long_text_counts_once_per_pair(table):
 @given(st.text(st.one_of(st.sampled_from("ab  \n\t'.1é漢▁　"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_words_are_encoded_as_the_whole_text_is(text):
     first, second = tokenizers()
-    words = test_words_are_encoded_as_the_whole_text_is.__dict__.setdefault(
-        "words", alignment.Words(*(public_tokenizers.path(p) for p in (alignment.FIRST, alignment.SECOND)))
-    )
     if not text:
         return
+    words = remembered()
     a, b = [], []
     for word in words.cut(text):
         a += words.first.encode(word, add_special_tokens=False).ids
