@@ -14,10 +14,10 @@ bit.
 
 Copies are one fingerprint. In every cell the members are first linked to the one with the
 most documents; cells with a single component are then done. In the others the members
-outside the largest component meet the members of other components, dealt by the number
-of set bits in the four bytes of the other half as well, one of which must agree. So a
-large group of near copies is no list of all its pairs, and no link between components is
-lost.
+outside the largest component meet the members of other components. Where these are many,
+they are also dealt by the number of set bits in the four bytes of the other half, one of
+which must agree. So a large group of near copies is no list of all its pairs, and no link
+between components is lost.
 
 Defined cases: a null text is an empty one; a text without words has fingerprint zero and
 is linked like any other; one of fewer than three words is one shingle; a null id never
@@ -47,6 +47,8 @@ DISTANCE = 3
 HASHES = 1 << 16
 #: Segments of a half of the bits, bytes of a half, and the low bits of its segments.
 SEGMENTS, BYTES, LOW = 16, 4, 0x55555555
+#: Tests in a cell from which on its members are dealt by the other half as well.
+WIDE = 1 << 16
 
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
@@ -96,20 +98,19 @@ def half_points(value: str) -> list[Column]:
 
 
 def grid(prints: DataFrame) -> DataFrame:
-    """(cell, home, rest) besides the columns of ``prints``: own cells, and those one step up.
+    """(cell, home) besides the columns of ``prints``: own cells, and those one step up.
 
-    ``cell`` is a half's number above its coordinates, ``rest`` the point of the other half.
+    ``cell`` is a half's number above its coordinates.
     """
-    points = half_points("print")
     one = F.lit(1).cast("long")
     rows = []
-    for i, (point, other) in enumerate(zip(points, reversed(points), strict=True)):
+    for i, point in enumerate(half_points("print")):
         mark = F.lit(i << 32).cast("long")
-        rows.append(F.struct((mark + point).alias("cell"), F.lit(True).alias("home"), other.alias("rest")))
+        rows.append(F.struct((mark + point).alias("cell"), F.lit(True).alias("home")))
         for s in range(SEGMENTS):
             room = F.shiftrightunsigned(point, 2 * s).bitwiseAND(F.lit(3)) < 2
             up = mark + point + F.shiftleft(one, 2 * s)
-            row = F.struct(up.alias("cell"), F.lit(False).alias("home"), other.alias("rest"))
+            row = F.struct(up.alias("cell"), F.lit(False).alias("home"))
             rows.append(F.when(room, row))
     return prints.select("*", F.inline(F.array_compact(F.array(*rows))))
 
@@ -131,53 +132,51 @@ def star_links(cells: DataFrame) -> DataFrame:
     )
 
 
-def cross_links(cells: DataFrame, labels: DataFrame) -> DataFrame:
+def cross_links(cells: DataFrame, labels: DataFrame, wide: int = WIDE) -> DataFrame:
     """All links between members of different components, as far as they share a cell."""
     placed = hand_over(
         cells.join(labels, cells["print"] == labels["node"], "left").select(
-            "cell", "home", "rest", "print", F.coalesce("component", "print").alias("component")
+            "cell", "home", "print", F.coalesce("component", "print").alias("component")
         ),
         "placed",
     )
     sizes = placed.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("cell").agg(
-        F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("components")
+    main = sizes.groupBy("cell").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+    tests = (F.col("all") - F.col("main.n")).cast("double") * F.col("all")
+    open_ = main.where("main.n < all").select(
+        "cell", F.col("main.component").alias("main"), (tests > wide).alias("wide")
     )
-    open_ = hand_over(main.where("components > 1").select("cell", "main.component").withColumnRenamed("component", "main"), "main")
-    byte = F.explode(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(BYTES - 1)),
-            lambda g: F.struct(
-                g.alias("byte"),
-                F.call_function("shiftrightunsigned", F.col("rest"), g * 8).bitwiseAND(F.lit(255)).alias("ones"),
-            ),
-        )
-    )
-    dealt = hand_over(
-        placed.join(open_, "cell").select(
-            "cell", "home", "print", "component", (F.col("component") != F.col("main")).alias("outside"), byte.alias("at")
-        ).select("cell", "at.byte", "at.ones", "home", "print", "component", "outside"),
-        "dealt",
-    )
-    one = dealt.where("outside").alias("o")
-    other = dealt.alias("m")
-    meet = [F.col(f"o.{c}") == F.col(f"m.{c}") for c in ("cell", "byte", "ones")]
-    test = (
+    rows = placed.join(hand_over(open_, "open"), "cell").withColumn("outside", F.col("component") != F.col("main"))
+    rows = hand_over(rows.select("cell", "home", "print", "component", "outside", "wide"), "members")
+    first, second = half_points("print")
+    rest = F.when(F.col("cell") < 1 << 32, second).otherwise(first)
+    ones = [F.shiftrightunsigned(rest, 8 * g).bitwiseAND(F.lit(255)) for g in range(BYTES)]
+    dealt = rows.where("wide").select("*", F.posexplode(F.array(*ones)).alias("byte", "ones"))
+    keys = ["cell", "byte", "ones"]
+    narrow = links_between(rows.where("NOT wide"), keys[:1])
+    return narrow.unionByName(links_between(hand_over(dealt, "dealt"), keys)).distinct()
+
+
+def links_between(members: DataFrame, keys: list[str]) -> DataFrame:
+    """Links (a, b) of members outside their cell's largest component with other components."""
+    one, other = members.where("outside").alias("o"), members.alias("m")
+    meet = (
         (F.col("o.component") != F.col("m.component"))
         & (F.col("o.home") | F.col("m.home"))
         & (~F.col("m.outside") | (F.col("o.print") < F.col("m.print")))
         & (differing("o.print", "m.print") <= DISTANCE)
     )
-    joined = one.join(other, meet[0] & meet[1] & meet[2] & test)
-    return joined.select(F.col("o.print").alias("a"), F.col("m.print").alias("b")).distinct()
+    for key in keys:
+        meet = (F.col(f"o.{key}") == F.col(f"m.{key}")) & meet
+    return one.join(other, meet).select(F.col("o.print").alias("a"), F.col("m.print").alias("b"))
 
 
-def print_components(prints: DataFrame) -> DataFrame:
+def print_components(prints: DataFrame, wide: int = WIDE) -> DataFrame:
     """(node, component) of all fingerprints with a link; ``prints`` has print (distinct), n_docs."""
     cells = met_in_cells(prints)
     links = hand_over(star_links(cells).distinct(), "links")
     labels = hand_over(connected_components(links, "a", "b"), "labels")
-    more = hand_over(cross_links(cells, labels), "links")
+    more = hand_over(cross_links(cells, labels, wide), "links")
     return hand_over(connected_components(links.unionByName(more), "a", "b"), "labels")
 
 

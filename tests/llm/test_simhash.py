@@ -83,11 +83,11 @@ def clusters(seed):
     return sorted(found)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_equal_all_pairs(spark, seed):
+@pytest.mark.parametrize(("seed", "wide"), [(1, simhash.WIDE), (2, 0)])
+def test_components_equal_all_pairs(spark, seed, wide):
     prints = clusters(seed)
     frame = spark.createDataFrame([(signed(p), 1 + p % 3) for p in prints], "print long, n_docs long")
-    found = {r["node"]: r["component"] for r in simhash.print_components(frame).collect()}
+    found = {r["node"]: r["component"] for r in simhash.print_components(frame, wide).collect()}
     want = brute_components(prints)
     groups = {}
     for p in prints:
