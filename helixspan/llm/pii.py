@@ -75,7 +75,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the patterns, by start, then kind."""
     found = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        # Without leading zeros, because int() takes no very long runs of digits.
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in m[0].split("."))):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         if 14 <= m.end() - m.start() <= 37:

@@ -2,9 +2,10 @@
 
 Explicit rules decide first: the longest rule that fits an url. An url without one takes
 the decision of its aliases: urls that redirect, canonical links or the canonical form of
-the address connect. Components of these edges are found in a distributed way; within a
-component an explicit allow goes before an explicit block, and without either the url is
-allowed.
+the address connect. Components of these edges are found in a distributed way. Pages, link
+targets and both ends of known redirects vote by the rules, whether they are pages or not;
+within a component an explicit allow goes before an explicit block, and without either the
+url is allowed. A canonical form is only a way to connect and has no vote.
 
 Defined cases: null or an url without ``://`` has empty host and path, no rule, no alias
 and is allowed; the query and the fragment never matter; repeated pages are judged each;
@@ -31,7 +32,7 @@ RULES = (
 )
 ADDRESS = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
 CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
+HREF = r"""(?is)(?<![\w-])href\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 REFRESH_URL = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
 
@@ -99,28 +100,34 @@ def filter_urls(pages: DataFrame, rules=RULES, redirects: DataFrame | None = Non
             rule.alias("rule"),
             verdict.alias("said"),
             node.alias("node"),
+            F.array_compact(F.array(F.when(node.isNotNull(), canonical_form(host, path)))).alias("forms"),
             F.array_compact(
-                F.array(
-                    F.when(node.isNotNull(), canonical_form(host, path)),
-                    link_address(F.col("canonical"), host),
-                    link_address(F.col("refresh"), host),
-                )
-            ).alias("aliases"),
+                F.array(link_address(F.col("canonical"), host), link_address(F.col("refresh"), host))
+            ).alias("links"),
         ),
         "pages",
     )
-    edges = judged.select(F.col("node").alias("src"), F.explode("aliases").alias("dst"))
+    edges = judged.select(F.col("node").alias("src"), F.explode(F.concat("forms", "links")).alias("dst"))
+    ends = judged.select(F.explode("links").alias("node"))
     if redirects is not None:
         known = [F.concat(host_of(F.col(c)), path_of(F.col(c))).alias(c) for c in ("src", "dst")]
-        edges = edges.unionByName(pick(redirects, "src", "dst").select(*known))
+        known = hand_over(pick(redirects, "src", "dst").select(*known), "redirects")
+        edges = edges.unionByName(known)
+        ends = ends.unionByName(known.select(F.explode(F.array("src", "dst")).alias("node")))
     edges = edges.where((F.col("dst") != "") & (F.col("src") != "") & (F.col("src") != F.col("dst")))
     groups = connected_components(edges, "src", "dst")
-    votes = judged.where("said IS NOT NULL").groupBy("node").agg(F.min("said").alias("said"))
+    # A node is a host and a path, and only the path has slashes.
+    parts_of_node = [F.regexp_extract("node", r"(?s)\A([^/]*)(.*)", i) for i in (1, 2)]
+    by_ends = ends.where("node IS NOT NULL").distinct()
+    by_ends = by_ends.select("node", by_rules(*parts_of_node, rules)[1].alias("said"))
+    said = judged.select("node", "said").unionByName(by_ends).where("said IS NOT NULL")
+    votes = said.groupBy("node").agg(F.min("said").alias("said"))
     decided = (
         votes.join(groups, "node")
         .groupBy("component")
         .agg(F.min("said").alias("decision"))  # allow sorts before block
     )
+    decided = hand_over(decided, "decided")
     by_node = hand_over(groups.join(decided, "component").select("node", "decision"), "decisions")
     return judged.join(by_node, "node", "left").select(
         "page_id",

@@ -415,3 +415,42 @@ def test_texts_to_learn_from_stay_in_the_tasks(table, to_driver):
     texts = {lang: [langid.words_of(r[1]) for r in rows if r[2] == lang] for lang in words}
     same = langid.fit(texts)
     assert model.lexicon == same.lexicon and (model.grams == same.grams).all()
+
+
+def test_link_targets_that_are_no_pages_vote(table):
+    canonical = '<link rel="canonical" data-href="https://shop.com/x" href="{}">'
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'
+    pages = [
+        (1, "https://one.org/p", canonical.format("https://b.net/es/p")),
+        (2, "https://two.org/p", refresh.format("https://d.net/fr/q")),
+        (3, "https://three.org/p", None),
+        (4, "https://four.org/p", canonical.format("https://shop.com/x")),
+        (5, "https://five.org/p", canonical.format("https://elsewhere.org/p")),
+        (6, "https://six.org/p", canonical.format("https://seven.org/p")),
+    ]
+    frame = table(pages, "page_id long, url string, html string")
+    verdicts = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.filter_urls(frame).collect()}
+    assert verdicts == {
+        1: (None, "block"), 2: (None, "block"), 3: (None, "allow"),
+        4: (None, "allow"), 5: (None, "allow"), 6: (None, "allow"),
+    }
+    known = table(
+        [("https://three.org/p", "https://x.net/es/"), ("https://seven.org/p", "https://y.net/fr/"), (None, None)],
+        "src string, dst string",
+    )
+    verdicts = {r["page_id"]: r["verdict"] for r in urls.filter_urls(frame, redirects=known).collect()}
+    assert [i for i, v in verdicts.items() if v == "block"] and {i for i, v in verdicts.items() if v == "block"} == {1, 2, 3, 6}
+
+
+def test_a_giant_component_is_joined_with_a_written_table(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.range(200).select(
+        F.col("id").alias("page_id"),
+        F.format_string("https://h%d.org/p", "id").alias("url"),
+        F.lit('<link rel="canonical" href="https://hub.net/es/">').alias("html"),
+    )
+    found = urls.filter_urls(pages)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "SortAggregate" not in plan
+    assert {r["verdict"] for r in found.collect()} == {"block"}
