@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from helixspan.functions import stats
 from helixspan.session import hand_over
@@ -64,8 +66,12 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def present(value: Column) -> Column:
-    """Neither null nor NaN, as ``complete`` sees it."""
-    return value.isNotNull() & ~F.coalesce(F.isnan(value.try_cast("double")), F.lit(False))
+    """Neither null nor NaN, as ``complete`` sees it: only numbers can be NaN.
+
+    The type is known when the plan is made, so for texts the test disappears from it.
+    """
+    not_a_number = F.typeof(value).isin("double", "float") & F.isnan(value.try_cast("double"))
+    return value.isNotNull() & ~F.coalesce(not_a_number, F.lit(False))
 
 
 def qc_counts(
@@ -73,23 +79,22 @@ def qc_counts(
 ) -> DataFrame:
     """(by, step_no, step, n_rows): rows left after each step, in one pass.
 
-    ``steps`` are (name, predicate) pairs that apply one after the other. All
-    counters come from a single aggregate instead of one count per step.
+    ``steps`` are (name, predicate) pairs that apply one after the other. The number of
+    steps that a row passes is found once per row; the counters are one aggregate of it.
     """
-    passed = [F.lit(True)]
-    for _, predicate in steps:
-        passed.append(passed[-1] & F.coalesce(predicate, F.lit(False)))
+    passed = F.lit(len(steps))
+    for number, (_, predicate) in reversed(list(enumerate(steps))):
+        passed = F.when(~F.coalesce(predicate, F.lit(False)), F.lit(number)).otherwise(passed)
     rows = [
         F.struct(
             F.lit(number).alias("step_no"),
             F.lit(name).alias("step"),
-            F.count_if(flag).alias("n_rows"),
-        )
-        for number, (name, flag) in enumerate(
-            zip(["input", *[name for name, _ in steps]], passed, strict=True)
+            F.count_if(F.col("_passed") >= number).alias("n_rows"),
         )
+        for number, name in enumerate(["input", *[name for name, _ in steps]])
     ]
-    return df.groupBy(*by).agg(F.array(*rows).alias("steps")).select(*by, F.inline("steps"))
+    counted = df.select(*by, passed.alias("_passed")).groupBy(*by).agg(F.array(*rows).alias("steps"))
+    return counted.select(*by, F.inline("steps"))
 
 
 def with_removed(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -109,6 +114,52 @@ def qc_report(
     return with_removed(qc_counts(df, steps, by), by)
 
 
+class StepLog:
+    """Rows left after each step of a plan, observed while the plan writes its output.
+
+    A step is an observation on the rows that pass by, so the report needs no scan of its
+    own. Every observed frame has to be written by one job without range bounds, whose
+    sampling would count again; a stage repeated for a lost executor may count rows twice.
+    """
+
+    def __init__(self) -> None:
+        self.steps: list[tuple[str, Observation]] = []
+
+    def watch(self, df: DataFrame, name: str) -> DataFrame:
+        seen = Observation()
+        self.steps.append((name, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """step_no, step, n_rows, removed, removed_pct; waits until the rows are written."""
+        rows = [(i, name, seen.get["n_rows"]) for i, (name, seen) in enumerate(self.steps)]
+        return with_removed(spark.createDataFrame(rows, "step_no int, step string, n_rows long"))
+
+
+_log: ContextVar[StepLog | None] = ContextVar("log", default=None)
+
+
+@contextmanager
+def step_log() -> Iterator[StepLog]:
+    """Plans made inside report their steps to the log."""
+    log = StepLog()
+    token = _log.set(log)
+    try:
+        yield log
+    finally:
+        _log.reset(token)
+
+
+def logging_steps() -> bool:
+    return _log.get() is not None
+
+
+def step(df: DataFrame, name: str) -> DataFrame:
+    """``df``, its rows counted under this name if a log is open."""
+    log = _log.get()
+    return log.watch(df, name) if log else df
+
+
 def gate_step(
     counts: DataFrame, after: str, minimum: int, name: str, by: Sequence[str] = ("study_id",)
 ) -> DataFrame:

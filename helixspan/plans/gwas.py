@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from helixspan.functions import stats
+from helixspan.functions import stats, tails
 from helixspan.operators import harmonise, qc
 from helixspan.schema import GWAS_SCHEMA, conform
 from helixspan.session import hand_over, tidy
@@ -26,7 +26,11 @@ def _finish(usable: DataFrame, studies: DataFrame, min_mac: float) -> DataFrame:
     )
     sized = usable.join(hand_over(sizes, "study-sizes"), "study_id")
     kept = qc.gwas_count_filter(qc.add_gwas_counts(sized), min_mac)
-    labelled = kept.withColumns(
+    return conform(_labelled(kept), GWAS_SCHEMA)
+
+
+def _labelled(kept: DataFrame) -> DataFrame:
+    return kept.withColumns(
         {
             "type": F.lit("gwas"),
             "pval": stats.floor_p(F.col("pval")),
@@ -36,7 +40,6 @@ def _finish(usable: DataFrame, studies: DataFrame, min_mac: float) -> DataFrame:
             "gene_id": F.lit(None),
         }
     )
-    return conform(labelled, GWAS_SCHEMA)
 
 
 def standardise(
@@ -59,14 +62,65 @@ def standardise(
     gated = qc.min_rows_gate(usable, min_rows)
     sites = harmonise.panel_sites(panel, wanted=gated.where(F.col("eaf").isNull()))
     filled = qc.complete(harmonise.fill_eaf(gated, sites), ["eaf"])
-    return _finish(stats.impute_se(filled), studies, min_mac)
+    return _finish(tails.impute_se(filled), studies, min_mac)
+
+
+def standardise_logged(
+    rows: DataFrame,
+    studies: DataFrame,
+    panel: DataFrame | None,
+    min_rows: int = 10000,
+    min_mac: float = 10,
+) -> tuple[DataFrame, DataFrame]:
+    """The result of ``standardise`` (``standardise_complete`` without panel) and its report.
+
+    The delivery is scanned once and joined with the panel once: rows are written with the
+    step they fail at, which the report counts from that column and the result filters on.
+    """
+    effects = stats.odds_to_effect(rows) if panel is not None else rows
+    needed = [c for c in REQUIRED if panel is None or c != "se"] + ["eaf"] * (panel is None)
+    ready = qc.all_of([qc.present(F.col(c)) for c in needed])
+    if panel is not None:
+        ready = ready & stats.has_or_gets_se()
+    marked = hand_over(effects.withColumn("_ready", F.coalesce(ready, F.lit(False))), "usable-rows")
+    counts = hand_over(
+        marked.groupBy("study_id").agg(F.count(F.lit(1)).alias("input"), F.count_if("_ready").alias("ready")),
+        "usable-counts",
+    )
+    large = counts.where(F.col("ready") >= min_rows).select("study_id")
+    gated = marked.where("_ready").drop("_ready").join(large, "study_id", "left_semi")
+    if panel is not None:
+        sites = harmonise.panel_sites(panel, wanted=gated.where(F.col("eaf").isNull()))
+        gated = tails.impute_se(harmonise.fill_eaf(gated, sites))
+    sizes = studies.select("study_id", F.col("n_total").cast("int"), F.col("n_cases").cast("int"))
+    sized = qc.add_gwas_counts(gated.join(hand_over(sizes, "study-sizes"), "study_id"))
+    (_, has_frequency), (_, enough) = qc_steps(min_mac)[1:]
+    failed = F.when(~has_frequency, 1).when(~F.coalesce(enough, F.lit(False)), 2).otherwise(0)
+    done = hand_over(sized.withColumn("_failed", failed), "checked-rows")
+    later = done.groupBy("study_id").agg(
+        F.count_if(F.col("_failed") != 1).alias("frequent"), F.count_if(F.col("_failed") == 0).alias("kept")
+    )
+    left = counts.join(hand_over(later, "checked-counts"), "study_id", "left")
+    steps = [
+        ("input", F.col("input")),
+        ("required columns", F.col("ready")),
+        ("enough rows", F.when(F.col("ready") >= min_rows, F.col("ready")).otherwise(0)),
+        ("allele frequency", F.coalesce("frequent", F.lit(0))),
+        ("minor allele count", F.coalesce("kept", F.lit(0))),
+    ]
+    each = F.array(
+        *[F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step"), c.cast("long").alias("n_rows")) for i, (n, c) in enumerate(steps)]
+    )
+    report = qc.with_removed(left.select("study_id", F.inline(each)), ["study_id"])
+    kept = done.where("_failed = 0").drop("_failed")
+    return conform(_labelled(kept), GWAS_SCHEMA), report
 
 
 def standardise_complete(
     rows: DataFrame, studies: DataFrame, min_rows: int = 10000, min_mac: float = 10
 ) -> DataFrame:
     """The same for deliveries that already have effects, errors and frequencies."""
-    usable = hand_over(qc.complete(rows, [*REQUIRED, "eaf"]), "usable-rows")
+    usable = hand_over(qc.complete(rows.drop("ln_pval"), [*REQUIRED, "eaf"]), "usable-rows")
     return _finish(qc.min_rows_gate(usable, min_rows), studies, min_mac)
 
 
@@ -128,8 +182,9 @@ def read_studies(
     if lost:
         raise ValueError(f"no input rows for these manifest lines (at most 20 shown): {lost}")
     rows = readers.read_mapped_by_header(
-        spark, paths, columns, {"in_tsv": readers.source_file()}, confident, headers=headers
-    )
+        spark, paths, columns, {"in_tsv": readers.source_file()}, confident, headers=headers,
+        logs={"pval": "ln_pval"},
+    )
     owners = files.join(lines, "line").select(F.col("file_path").alias("in_tsv"), "study_id")
     return rows.join(hand_over(owners.distinct(), "owners"), "in_tsv").drop("in_tsv")
 
@@ -153,15 +208,13 @@ def ingest(
     with tidy(spark):
         rows = read_studies(spark, manifest, columns, confident)
         if log:
-            rows = hand_over(rows, "rows")
-        result = (
-            standardise(rows, manifest, panel, min_rows, min_mac)
-            if panel is not None
-            else standardise_complete(rows, manifest, min_rows, min_mac)
-        )
+            result, report = standardise_logged(rows, manifest, panel, min_rows, min_mac)
+        elif panel is not None:
+            result = standardise(rows, manifest, panel, min_rows, min_mac)
+        else:
+            result = standardise_complete(rows, manifest, min_rows, min_mac)
         sinks.write_by_folder(result, out, ["study_id"])
         if log:
-            report = ingest_report(rows, manifest, panel, min_rows, min_mac)
             sinks.write_result_table(report, log, sep="\t")
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from helixspan.operators import qtl
+from helixspan.operators import qc, qtl
 from helixspan.plans import exports, gwas, molecular
 from helixspan.registry.core import query
 from helixspan.registry.scalars import _quantile_sql
 from helixspan.registry.views import Tables
+from helixspan.session import hand_over
 
 _PANEL_JOIN = """{kind} JOIN v_panel p ON {alias}.chrom = p.chrom_b37 AND {alias}.pos = p.pos_b37
     AND {alias}.ref = p.ref AND {alias}.alt = p.alt AND p.gnomad_nfe IS NOT NULL"""
@@ -110,6 +111,19 @@ def pipeline_eqtl(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """WITH counts AS (SELECT count(*) AS n0, count_if(least(ac, an-ac) >= 5) AS n1 FROM v_qtl)
+    SELECT cast(0 AS int) AS step_no, 'input' AS step, n0 AS n_rows, cast(0 AS bigint) AS removed,
+        0e0 AS removed_pct FROM counts
+    UNION ALL SELECT 1, 'minor allele count', n1, n0-n1, round((n0-n1)*100e0/n0, 2) FROM counts"""
+)
+def molecular_report(t: Tables) -> DataFrame:
+    """Rows left after each step of an expression ingest, observed while it is written."""
+    with qc.step_log() as steps:
+        hand_over(pipeline_eqtl(t), "result")
+    return steps.report(t.spark)
+
+
 _ALIGNED = """SELECT a.*, p.ref, p.alt, p.chrom_b38, p.pos_b38, p.gnomad_nfe FROM {source} a
     JOIN v_panel p ON a.chrom = p.chrom_b37 AND a.pos = p.pos_b37
     AND ((p.ref = a.other_allele AND p.alt = a.effect_allele)

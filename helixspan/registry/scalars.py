@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from helixspan.functions import ids, stats
+from helixspan.functions import ids, stats, tails
 from helixspan.operators import qc
 from helixspan.registry.core import query
 from helixspan.registry.views import Tables
@@ -218,3 +218,47 @@ def id_sanitise(t: Tables) -> DataFrame:
 def junction_parse(t: Tables) -> DataFrame:
     parts = ids.junction_parts(F.col("phenotype_id"))
     return t.view("v_junction").select(*[part.alias(name) for name, part in parts.items()])
+
+
+_P_TEXT = (
+    "concat(cast(1 + pos%9 as string), '.', lpad(cast(pos%1000 as string), 3, '0'), "
+    "case when pos%2 = 0 then 'e-' else 'E-' end, cast(1 + (pos*7)%6000 as string))"
+)
+
+
+def _tail_steps(steps: int = tails.STEPS) -> str:
+    """Newton steps on the logarithm of the upper tail, one common table each."""
+    series = "10395e0"
+    for factor in ("-945e0", "105e0", "-15e0", "3e0", "-1e0", "1e0"):
+        series = f"({series} / (z{{i}}*z{{i}}) + {factor})"
+    text = f"t0 AS (SELECT *, sqrt(-2e0*(q + {tails.HALF_LN_2PI!r}e0 + ln(-2e0*q)/2e0)) AS z0 FROM far)"
+    for i in range(steps):
+        s = series.format(i=i)
+        ln_tail = f"(-z{i}*z{i}/2e0 - {tails.HALF_LN_2PI!r}e0 - ln(z{i}) + ln({s}))"
+        text += f", t{i + 1} AS (SELECT *, z{i} + ({ln_tail} - q) * {s} / z{i} AS z{i + 1} FROM t{i})"
+    return text
+
+
+@query(
+    f"""WITH written AS (SELECT study_id, chrom, pos, ref, alt, beta, {_P_TEXT} AS p_text FROM v_gwas),
+    logs AS (SELECT *, ln(cast(regexp_extract(p_text, '^([0-9.]+)[eE]', 1) AS double))
+        + cast(regexp_extract(p_text, '[eE](.*)$', 1) AS double) * {tails.LN10!r}e0 AS ln_p FROM written),
+    near AS (SELECT *, exp(ln_p) / 2e0 AS h, sqrt(-ln(exp(ln_p) / 2e0)) AS r FROM logs
+        WHERE ln_p >= {tails.FAR!r}e0 AND ln_p <= 0e0),
+    far AS (SELECT *, ln_p - {tails.LN2!r}e0 AS q FROM logs WHERE ln_p < {tails.FAR!r}e0),
+    {_tail_steps()},
+    scored AS (SELECT study_id, chrom, pos, ref, alt, beta, ln_p, {_quantile_sql()} AS z FROM near
+        UNION ALL SELECT study_id, chrom, pos, ref, alt, beta, ln_p, z{tails.STEPS} FROM t{tails.STEPS}
+        UNION ALL SELECT study_id, chrom, pos, ref, alt, beta, ln_p, NULL FROM logs WHERE ln_p > 0e0)
+    {_SELECT}, round(ln_p, 6) AS ln_p, round(z, 7) AS z, round(abs(beta) / nullif(z, 0), 7) AS se FROM scored"""
+)
+def se_from_log_p(t: Tables) -> DataFrame:
+    """Standard errors from p-values given as text, down to 1e-6000."""
+    rows = t.view("v_gwas").select(*_KEYS, "beta", tails.ln_of_text(F.expr(_P_TEXT)).alias("ln_p"))
+    scored = rows.withColumn("z", tails.z_from_ln_p(F.col("ln_p")))
+    return scored.select(
+        *_KEYS,
+        F.round("ln_p", 6).alias("ln_p"),
+        F.round("z", 7).alias("z"),
+        F.round(stats.se_from_z(F.col("beta"), F.col("z")), 7).alias("se"),
+    )

@@ -83,14 +83,17 @@ def tidy_job(job: Callable) -> Callable:
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the jobs inside, put back afterwards."""
-    before = {key: spark.conf.get(key) for key in values}
+    before = {key: spark.conf.get(key, None) for key in values}
     for key, value in values.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def hand_over(df: DataFrame, label: str = "table") -> DataFrame:

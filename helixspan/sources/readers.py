@@ -9,9 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from helixspan.functions import ids
+from helixspan.functions import ids, tails
 from helixspan.operators.combine import union_all
 from helixspan.session import hand_over, settings
 
@@ -138,13 +140,16 @@ def read_mapped_tsv(
     extra: Mapping[str, Column] | None = None,
     confident: bool = False,
     bad: str | None = None,
+    logs: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Header TSV read as strings, ``NA`` as null, mapped to unified names and types.
 
     Columns the file lacks become typed nulls and unparsable numbers null; ``bad`` names
     a column that counts them per row. Integers may carry decimals, which are cut off.
     ``extra`` adds columns such as the source file; ``confident`` drops rows flagged as
-    low-confidence variants before the flag is projected away.
+    low-confidence variants before the flag is projected away. ``logs`` maps mapped columns
+    to new ones with the natural logarithm of their text, which also holds p-values that are
+    zero as doubles.
     """
     raw = spark.read.csv(paths, sep="\t", header=True, nullValue="NA")
     if confident and "low_confidence_variant" in raw.columns:
@@ -161,6 +166,11 @@ def read_mapped_tsv(
         if source in present and kind != "string"
     ]
     counted = [sum(lost, F.lit(0)).alias(bad)] if bad else []
+    sources = {name: source for source, (name, _) in columns.items() if source in present}
+    exact = [
+        (tails.ln_of_text(F.col(f"`{sources[name]}`")) if name in sources else F.lit(None).cast("double")).alias(log)
+        for name, log in (logs or {}).items()
+    ]
     return raw.select(
         *[
             (parsed(source, kind) if source in present else F.lit(None).cast(kind)).alias(name)
@@ -168,6 +178,7 @@ def read_mapped_tsv(
         ],
         *[value.alias(name) for name, value in (extra or {}).items()],
         *counted,
+        *exact,
     )
 
 
@@ -220,6 +231,12 @@ def read_paths(spark: SparkSession, path: Paths) -> DataFrame:
     )
 
 
+#: Files up to this size are read whole, many of them per task; of longer ones only the first batch.
+SMALL_FILE = 1 << 20
+#: Small files per task.
+FILES_PER_TASK = 1000
+
+
 def _first_row(batches: Iterable) -> Iterable:
     """The first row of a partition, if a file starts there; the rest is not fetched."""
     for batch in batches:
@@ -229,22 +246,51 @@ def _first_row(batches: Iterable) -> Iterable:
             return
 
 
+def _first_rows(batches: Iterable) -> Iterable:
+    """The first row of every file of a partition; a file's rows lie together and in order."""
+    last = None
+    for batch in batches:
+        names = batch.column("file_path").dictionary_encode()
+        if not batch.num_rows:
+            continue
+        codes = names.indices.to_numpy(zero_copy_only=False)
+        places = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist()]
+        if names[0].as_py() == last:
+            places = places[1:]
+        last = names[batch.num_rows - 1].as_py()
+        if places:
+            yield batch.take(pa.array(places)).select(["file_path", "header"])
+
+
 def header_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     """(file_path, header) of every file that has a line.
 
     Spark's text source reads, so every storage, name and compression it knows will do.
-    With the cost of opening a file set to a whole split no task gets two files, and a
-    task stops after its first batch of lines.
+    Small files share a task by the thousand and are never split. Of a longer file the task
+    stops after its first batch of lines: with the cost of opening a file set to a whole
+    split no task gets two of them. The size is a property of the file, so both scans only
+    open the files they are for.
     """
-    one_each = {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")}
+    whole = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("value").alias("header"),
         F.col("_metadata.file_block_start").alias("start"),
     )
-    with settings(spark, one_each):
-        firsts = lines.mapInArrow(_first_row, "file_path string, header string")
-        return hand_over(firsts.withColumn("file_path", ids.clean_path(F.col("file_path"))).distinct(), "headers")
+    size = F.col("_metadata.file_size")
+    small = {
+        "spark.sql.files.maxPartitionBytes": str(max(whole, SMALL_FILE)),
+        "spark.sql.files.openCostInBytes": str(max(1, whole // FILES_PER_TASK)),
+        # Otherwise the files would be dealt out to as many tasks as there are cores.
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    long = {"spark.sql.files.openCostInBytes": str(whole)}
+    found = []
+    for values, chosen, first in ((small, size <= SMALL_FILE, _first_rows), (long, size > SMALL_FILE, _first_row)):
+        with settings(spark, values):
+            firsts = lines.where(chosen).mapInArrow(first, "file_path string, header string")
+            found.append(hand_over(firsts.withColumn("file_path", ids.clean_path(F.col("file_path"))).distinct(), "headers"))
+    return found[0].unionByName(found[1])
 
 
 def header_groups(headers: DataFrame) -> DataFrame:
@@ -264,6 +310,7 @@ def read_mapped_by_header(
     confident: bool = False,
     bad: str | None = None,
     headers: DataFrame | None = None,
+    logs: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``read_mapped_tsv`` for files whose headers differ: one read per distinct header.
 
@@ -274,7 +321,7 @@ def read_mapped_by_header(
     known = header_lines(spark, paths) if headers is None else headers
     groups = known.groupBy("header").agg(F.sort_array(F.collect_set("file_path")).alias("files"))
     return union_all(
-        read_mapped_tsv(spark, [literal_path(f) for f in row["files"]], columns, extra, confident, bad)
+        read_mapped_tsv(spark, [literal_path(f) for f in row["files"]], columns, extra, confident, bad, logs)
         for row in groups.orderBy("header").toLocalIterator()
     )
 
