@@ -12,7 +12,7 @@ from helixspan.registry.core import query
 from helixspan.registry.filters import _MERGED, _NEAR, P_WINDOW, WIDTH, _gwas_table, _hits, _qtl_table
 from helixspan.registry.views import Tables
 from helixspan.session import scratch_path
-from helixspan.sources import readers, sinks
+from helixspan.sources import publish, readers, sinks
 
 _HARMONISED = {new: old for old, (new, _) in readers.HARMONISED_GWAS.items()}
 _GWAS_COLUMNS = ["chrom", "pos", "ref", "alt", "pval", "beta", "se", "oddsr", "oddsr_lower", "eaf"]
@@ -330,6 +330,22 @@ def linear_export_job(t: Tables) -> DataFrame:
     return back.select("phenotype", "variant_id", F.round("AC", 6).alias("AC"), "minor", "cases", "info")
 
 
+@query("SELECT study_id, chrom, pos, ref, alt, beta, pval FROM v_gwas WHERE pval <= 0.5e0")
+def publish_whole(t: Tables) -> DataFrame:
+    """An output replaced as a whole, and a later run that fails its checks and changes nothing."""
+    out = scratch_path(t.spark, "published")
+    rows = t.view("v_gwas").select("study_id", "chrom", "pos", "ref", "alt", "beta", "pval")
+    rules = [("pval is in range", F.col("pval") <= 0.5)]
+    write = sinks.write_by_position
+    publish.publish(rows.where("pval > 0.5D"), out, write)
+    publish.publish(rows.where("pval <= 0.5D"), out, write, rules)
+    try:
+        publish.publish(rows, out, write, rules)
+    except ValueError:
+        return readers.read_parquet(t.spark, out)
+    raise AssertionError("rows that break a rule were published")
+
+
 @query(
     """WITH sized AS (SELECT study_id, se, eaf, 4000 * CASE WHEN eaf <= 0.5e0 THEN eaf ELSE 1e0-eaf END
         AS mac FROM v_gwas),

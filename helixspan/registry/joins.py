@@ -8,6 +8,8 @@ from helixspan.functions import ids, stats
 from helixspan.operators import harmonise, liftover, qtl
 from helixspan.registry.core import query
 from helixspan.registry.views import Tables
+from helixspan.session import scratch_path
+from helixspan.sources import buckets
 
 
 @query(
@@ -20,6 +22,20 @@ def eaf_fill(t: Tables) -> DataFrame:
     return filled.select("study_id", "chrom", "pos", "ref", "alt", "eaf")
 
 
+@query(
+    """SELECT g.study_id, g.chrom, g.pos, g.ref, g.alt, coalesce(g.eaf, p.gnomad_nfe) AS eaf
+    FROM v_gwas g LEFT JOIN v_panel p ON g.chrom = p.chrom_b37 AND g.pos = p.pos_b37
+        AND g.ref = p.ref AND g.alt = p.alt"""
+)
+def eaf_fill_bucketed(t: Tables) -> DataFrame:
+    """Frequencies from a panel that lies in buckets by variant, for rows dealt alike."""
+    path = scratch_path(t.spark, "panel")
+    buckets.write_bucketed(harmonise.panel_sites(t.panel(), "b37"), path, 8)
+    sites = harmonise.panel_sites(buckets.read_bucketed(t.spark, path))
+    rows = buckets.alike_bucketed(t.view("v_gwas").select("study_id", *harmonise.VARIANT, "eaf"), path)
+    return harmonise.fill_eaf(rows, sites).select("study_id", "chrom", "pos", "ref", "alt", "eaf")
+
+
 @query(
     """SELECT q.phenotype_id, q.chrom, q.pos, q.ref, q.alt,
         CASE WHEN p.gnomad_nfe <= 0.5e0 THEN q.maf ELSE 1e0 - q.maf END AS eaf, p.pos_b38

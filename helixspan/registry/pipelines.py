@@ -115,7 +115,7 @@ def pipeline_eqtl(t: Tables) -> DataFrame:
     """WITH counts AS (SELECT count(*) AS n0, count_if(least(ac, an-ac) >= 5) AS n1 FROM v_qtl)
     SELECT cast(0 AS int) AS step_no, 'input' AS step, n0 AS n_rows, cast(0 AS bigint) AS removed,
         0e0 AS removed_pct FROM counts
-    UNION ALL SELECT 1, 'minor allele count', n1, n0-n1, round((n0-n1)*100e0/n0, 2) FROM counts"""
+    UNION ALL SELECT 1, 'minor allele count', cast(n1 AS bigint), cast(n0-n1 AS bigint), round((n0-n1)*100e0/n0, 2) FROM counts"""
 )
 def molecular_report(t: Tables) -> DataFrame:
     """Rows left after each step of an expression ingest, observed while it is written."""
