@@ -1,10 +1,12 @@
 """Document fingerprints as invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text is the set of digests of its paragraphs (lines; long ones in pieces). A sketch has
-three subtables of cells with a count, the XOR of the digests and the XOR of their check
-hashes. Sketches subtract cell by cell, which leaves the digests that differ; cells that
-hold a single digest are peeled until nothing is left. Where peeling stops short, the pair
-is sketched again with larger tables, until it succeeds.
+A text is the set of digests of its paragraphs: lines, cut after every word whose hash
+says so. Where a line is cut depends on the words there and not on their distance from its
+start, so pieces behind an insertion stay as they were. A sketch has three subtables of
+cells with a count, the XOR of the digests and the XOR of their check hashes. Sketches
+subtract cell by cell, which leaves the digests that differ; cells that hold a single digest
+are peeled until nothing is left. The stored sketches are subtracted first; only where
+peeling stops short, the pair is sketched again with larger tables, until it succeeds.
 
 Cells are rows that are grouped by (document, pair, cell). The documents are dealt by
 their number once, so building, subtracting and all peeling rounds run within a stage.
@@ -24,13 +26,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from helixspan.llm.texts import pick
 from helixspan.session import hand_over, settings
 
-#: Longest piece of a paragraph, in code points.
-PIECE = 192
+#: A word with the blanks and the line end behind it, or blanks alone. Ideographs and
+#: syllables, which are written without blanks, are words of their own; a run of other
+#: characters without blanks is cut every 64 of them.
+WORD = (
+    r"(?:[\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]|[^\s\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]{1,64})"
+    r"[^\S\n]*+\n?|[^\S\n]++\n?"
+)
+#: A line is cut after one word in 16, and a text below 1024 code points once more after
+#: one in 4, so that short texts have several digests as well.
+COARSE, FINE, SHORT = 16, 4, 1024
 SUBTABLES = 3
 #: Cells per subtable of the stored fingerprint.
 WIDTH = 8
 #: Rounds of peeling, each over one subtable, before a larger table is tried.
 ROUNDS = 12
+#: How much wider the tables of a further attempt are, until they hold all digests of both.
+GROWTH = 8
 #: Sections of the document order per shuffle partition, and at most.
 SECTIONS_PER_PARTITION, MAX_SECTIONS = 8, 65536
 
@@ -40,9 +52,19 @@ SECTIONS_PER_PARTITION, MAX_SECTIONS = 8, 65536
 ONE_LEVEL = {"spark.sql.codegen.aggregate.map.twolevel.enabled": "false"}
 
 
-def digests(text: Column, piece: int = PIECE) -> Column:
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{piece}}}"), F.lit(0))
-    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
+def pieces(words: Column, every: int) -> Column:
+    """Distinct pieces of a text, each up to a line end or a word whose hash is divisible."""
+    marked = F.transform(
+        words, lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(every)) == 0, F.concat(w, F.lit("\n"))).otherwise(w)
+    )
+    return F.array_remove(F.array_distinct(F.split(F.array_join(marked, ""), "\n")), "")
+
+
+def digests(text: Column) -> Column:
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    found = pieces(words, COARSE)
+    both = F.when(F.length(text) < SHORT, F.array_union(found, pieces(words, FINE))).otherwise(found)
+    return F.transform(both, lambda p: F.xxhash64(p))
 
 
 def check_of(digest: Column) -> Column:
@@ -271,9 +293,15 @@ def outcome(peeled: DataFrame) -> DataFrame:
 
 
 def again(pairs: DataFrame, attempt: int) -> DataFrame:
-    """Outcome of pairs (number, pair, own, other) with larger tables and another seed."""
+    """Outcome of pairs (number, pair, own, other): the first attempt subtracts sketches as
+    stored, a further one has ``GROWTH`` times the cells and another seed. Tables grow no
+    further than to hold the digests of both texts, and twice that from then on."""
     both = F.greatest(F.size("own") + F.size("other"), F.lit(WIDTH))
-    width = F.pow(F.lit(2), F.ceil(F.log2(both)) + attempt - 1).cast("int")
+    all_of_both = F.pow(F.lit(2.0), F.ceil(F.log2(both)))
+    grown = F.lit(float(WIDTH) * GROWTH ** (attempt - 1))
+    # Attempts that the pair has made since its tables could hold everything.
+    spare = F.greatest(F.floor(F.log2(grown / all_of_both) / F.log2(F.lit(float(GROWTH)))), F.lit(0))
+    width = F.least(grown, all_of_both * F.pow(F.lit(2.0), spare)).cast("int")
     parts = F.array(
         F.struct(F.lit(0).alias("side"), F.col("own").alias("digests")),
         F.struct(F.lit(1).alias("side"), F.col("other").alias("digests")),
@@ -288,9 +316,9 @@ def again(pairs: DataFrame, attempt: int) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Likeness is 1 - differing digests / digests of both texts. A pair starts with the width
-    of the stored fingerprint, or, if both texts have more digests than that can hold, with
-    one that can; what is stuck is tried again with twice the width and another seed.
+    Likeness is 1 - differing digests / digests of both texts. Further columns: the digests
+    recovered per pair (differ_edited, differ_next) and the attempts it took (tries_edited,
+    tries_next; 1 if the stored sketches were enough).
     """
     spark = docs.sparkSession
     base = hand_over(versions(docs), "versions")
@@ -303,7 +331,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     while True:
         with settings(spark, ONE_LEVEL):
             found = hand_over(again(pairs, attempt), "peeled")
-        solved.append(found.where("NOT stuck"))
+        solved.append(found.where("NOT stuck").withColumn("tries", F.lit(attempt)))
         stuck = found.where("stuck").select("number", "pair")
         if stuck.isEmpty():
             break
@@ -315,7 +343,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     for more in solved[1:]:
         all_solved = all_solved.unionByName(more)
     per_doc = all_solved.groupBy("number").agg(
-        *[F.max(F.when(F.col("pair") == p, F.col("differing"))).alias(f"d{p}") for p in (1, 2)]
+        *[F.max(F.when(F.col("pair") == p, F.col("differing"))).alias(f"d{p}") for p in (1, 2)],
+        *[F.max(F.when(F.col("pair") == p, F.col("tries"))).alias(f"t{p}") for p in (1, 2)],
     )
     sides = F.array(
         *[F.struct(F.lit(i).alias("side"), F.col(c).alias("digests")) for i, c in enumerate(("own", "edited"))]
@@ -346,5 +375,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             F.coalesce("s1", empty).alias("edited_fingerprint"),
             near("d1", "n_edited").alias("near_edited"),
             near("d2", "n_next").alias("near_next"),
+            *[F.coalesce(f"d{p}", F.lit(0)).cast("long").alias(f"differ_{c}") for p, c in ((1, "edited"), (2, "next"))],
+            *[F.coalesce(f"t{p}", F.lit(1)).alias(f"tries_{c}") for p, c in ((1, "edited"), (2, "next"))],
         )
     )

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from helixspan.llm import iblt, langid, neardup, quality, urls
 from helixspan.llm.components import connected_components
@@ -70,7 +71,36 @@ def test_components_of_nothing(spark):
 
 
 def brute_pieces(text):
-    return set(re.findall(r"[^\n]{1,192}", text))
+    """Character by character: words with the blanks behind them, a piece ends where a hash is divisible."""
+
+    def own_word(c):
+        return "\u2e80" <= c <= "\u9fff" or "\uac00" <= c <= "\ud7af" or "\uf900" <= c <= "\ufaff"
+
+    def pieces(line, every):
+        i, piece, out = 0, "", set()
+        while i < len(line):
+            start = i
+            if own_word(line[i]):
+                i += 1
+            else:
+                while i < len(line) and i - start < 64 and line[i] not in " \t\r\f\v" and not own_word(line[i]):
+                    i += 1
+            while i < len(line) and line[i] in " \t\r\f\v":
+                i += 1
+            end = "\n" if i == len(line) and ended else ""
+            word = line[start:i]
+            piece += word
+            if xxhash.xxh64_intdigest((word + end).encode(), 42) % every == 0:
+                out.add(piece)
+                piece = ""
+        return out | {piece}
+
+    found = set()
+    lines = text.split("\n")
+    for n, line in enumerate(lines):
+        ended = n < len(lines) - 1
+        found |= pieces(line, 16) | (pieces(line, 4) if len(text) < 1024 else set())
+    return found - {""}
 
 
 def likeness(a, b):
@@ -97,9 +127,34 @@ def test_fingerprints_match_brute_force(spark):
         assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert row["near_edited"] == pytest.approx(likeness(text, edited))
         assert row["near_next"] == pytest.approx(likeness(text, after))
+        assert row["differ_next"] == len(brute_pieces(text) ^ brute_pieces(after))
+        assert row["tries_next"] >= 1 and (row["tries_next"] == 1 or row["differ_next"] > 0)
         assert (row["fingerprint"] == got[order[-1][0]]["fingerprint"]) == (brute_pieces(text) == brute_pieces(order[-1][1] or ""))
 
 
+def test_likeness_follows_the_edit_and_not_its_place(table):
+    """Against the share of words that differ, which knows nothing of pieces."""
+    draw = random.Random(5)
+    words = [f"{draw.choice('abcdefgh')}{draw.randrange(10**6)}" for _ in range(400)]
+    one_line, inserted = " ".join(words), " ".join(["new", *words])
+    late = " ".join([*words[:200], "new", *words[200:]])
+    other = " ".join(f"z{draw.randrange(10**6)}" for _ in range(400))
+    ideographs = "".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(600))
+    rows = [(9, one_line), (8, inserted), (7, late), (6, other), (5, ideographs), (4, "\u4e00" + ideographs)]
+    got = {r["doc_id"]: r for r in iblt.fingerprints(table(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["near_next"] > 0.8 for i in (9, 8, 5))
+    assert got[7]["near_next"] == 0.0 and got[9]["tries_next"] == 1
+    # Half of the words stay; the other half comes from a text of the same length.
+    assert all(0.3 < got[i]["near_edited"] < 0.7 for i in (9, 8, 7))
+
+
+def test_short_lines_keep_part_of_their_digests(table):
+    draw = random.Random(6)
+    rows = [(i, " ".join(f"w{draw.randrange(10**5)}" for _ in range(17))[:98]) for i in range(60)]
+    got = iblt.fingerprints(table(rows, "doc_id long, text string")).collect()
+    assert sum(r["near_edited"] > 0 for r in got) >= 50
+
+
 def test_peeling_recovers_the_digests(spark):
     rows = [(0, 0, list(range(10, 40))), (0, 1, list(range(20, 45)))]
     sides = spark.createDataFrame(rows, "number int, side int, digests array<bigint>").selectExpr(
