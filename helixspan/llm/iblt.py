@@ -26,16 +26,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from helixspan.llm.texts import pick
 from helixspan.session import hand_over, settings
 
-#: A word with the blanks and the line end behind it, or blanks alone. Ideographs and
-#: syllables, which are written without blanks, are words of their own; a run of other
-#: characters without blanks is cut every 64 of them.
-WORD = (
-    r"(?:[\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]|[^\s\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF]{1,64})"
-    r"[^\S\n]*+\n?|[^\S\n]++\n?"
-)
-#: A line is cut after one word in 16, and a text below 1024 code points once more after
-#: one in 4, so that short texts have several digests as well.
-COARSE, FINE, SHORT = 16, 4, 1024
+#: A text is cut after one word in 16, and one below 512 code points once more after one
+#: in 2, so that short texts have several digests as well.
+COARSE, FINE, SHORT = 16, 2, 512
+#: Where blanks are further apart than this (scripts without blanks, codes), every
+#: character counts as a word.
+LONGEST_WORD = 64
 SUBTABLES = 3
 #: Cells per subtable of the stored fingerprint.
 WIDTH = 8
@@ -52,19 +48,25 @@ SECTIONS_PER_PARTITION, MAX_SECTIONS = 8, 65536
 ONE_LEVEL = {"spark.sql.codegen.aggregate.map.twolevel.enabled": "false"}
 
 
-def pieces(words: Column, every: int) -> Column:
-    """Distinct pieces of a text, each up to a line end or a word whose hash is divisible."""
+def pieces(text: Column, every: int) -> Column:
+    """Digests of the pieces, each up to a line end or a word whose hash is divisible."""
+
+    def cut(word: Column) -> Column:
+        return F.when(F.pmod(F.xxhash64(word), F.lit(every)) == 0, F.concat(word, F.lit("\n"))).otherwise(word)
+
+    def cut_inside(word: Column) -> Column:
+        return F.array_join(F.transform(F.regexp_extract_all(word, F.lit("(?s)."), F.lit(0)), cut), "")
+
     marked = F.transform(
-        words, lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(every)) == 0, F.concat(w, F.lit("\n"))).otherwise(w)
+        F.split(text, " "), lambda w: F.when(F.length(w) > LONGEST_WORD, cut_inside(w)).otherwise(cut(w))
     )
-    return F.array_remove(F.array_distinct(F.split(F.array_join(marked, ""), "\n")), "")
+    found = F.filter(F.split(F.array_join(marked, " "), "\n"), lambda p: p != "")
+    return F.array_distinct(F.transform(found, lambda p: F.xxhash64(p)))
 
 
 def digests(text: Column) -> Column:
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    found = pieces(words, COARSE)
-    both = F.when(F.length(text) < SHORT, F.array_union(found, pieces(words, FINE))).otherwise(found)
-    return F.transform(both, lambda p: F.xxhash64(p))
+    found = pieces(text, COARSE)
+    return F.when(F.length(text) < SHORT, F.array_union(found, pieces(text, FINE))).otherwise(found)
 
 
 def check_of(digest: Column) -> Column:
