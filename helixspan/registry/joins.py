@@ -9,7 +9,7 @@ from helixspan.operators import harmonise, liftover, qtl
 from helixspan.registry.core import query
 from helixspan.registry.views import Tables
 from helixspan.session import scratch_path
-from helixspan.sources import buckets
+from helixspan.sources import buckets, chains
 
 
 @query(
@@ -180,3 +180,26 @@ _LIFTED = """SELECT a.gene_id, a.chrom, a.pos, c.q_chrom AS chrom_b38,
 def liftover_sites(t: Tables) -> DataFrame:
     segments = liftover.flatten_chain(t.view("v_chain"))
     return liftover.lift(t.view("v_alleles").select("gene_id", "chrom", "pos"), segments)
+
+
+_PARTS = """SELECT chrom, q_chrom, q_size, strand, t_start, t_start + 5000 AS t_end, q_start FROM v_chain
+    UNION ALL SELECT chrom, q_chrom, q_size, strand, t_start + 5100, t_start + 9100, q_start + 5040
+    FROM v_chain
+    UNION ALL SELECT chrom, q_chrom, q_size, strand, t_start + 9100, t_end, q_start + 9340 FROM v_chain"""
+
+
+@query(f"WITH parts AS ({_PARTS}) " + _LIFTED.replace("v_chain", "parts"))
+def liftover_from_chain(t: Tables) -> DataFrame:
+    """Sites through a chain file; every chain of the table is three blocks with gaps between."""
+    path = scratch_path(t.spark, "chain")
+    length = F.col("t_end") - F.col("t_start")
+    header = F.concat_ws(
+        " ", F.lit("chain"), "chain_score", F.concat(F.lit("chr"), "chrom"), F.lit(2000000), F.lit("+"),
+        "t_start", "t_end", "q_chrom", "q_size", "strand", "q_start",
+        F.col("q_start") + length + 240, "t_start",
+    )
+    last = F.concat((length - 9100).cast("string"), F.lit("\n"))
+    record = F.concat_ws("\n", header, F.lit("5000 100 40"), F.lit("4000 0 300"), last)
+    t.view("v_chain").select(record).write.text(path)
+    segments = liftover.flatten_chain(chains.read_chain(t.spark, path))
+    return liftover.lift(t.view("v_alleles").select("gene_id", "chrom", "pos"), segments)
