@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from helixspan.functions import ids, stats
+from helixspan.operators import quantiles
 from helixspan.operators.keys import same_keys
 from helixspan.operators.ordered import carry_in, range_sections
+from helixspan.session import hand_over
 
 GENE_KEYS = ("study_id", "bio_feature", "gene_id")
 DATASET_KEYS = ("study_id", "bio_feature")
@@ -110,8 +112,13 @@ def without(counts: DataFrame, thresholds: Sequence[str] = (), datasets: Sequenc
 
 def threshold_summary(counts: DataFrame) -> DataFrame:
     """Total and median count over data sets per threshold."""
-    return counts.groupBy("threshold").agg(
-        F.sum("count").alias("total_count"), F.median("count").alias("median_count")
+    written = hand_over(counts.select("threshold", "count"), "counts")
+    totals = written.groupBy("threshold").agg(F.sum("count").alias("total_count"))
+    middle = quantiles.medians(written, ["threshold"], "count", "median_count")
+    return (
+        totals.alias("t")
+        .join(middle.alias("m"), same_keys("t", "m", ["threshold"]), "left")
+        .select("t.*", "m.median_count")
     )
 
 
@@ -125,5 +132,8 @@ def compare_types(counts: DataFrame, pattern: str = "GTE") -> DataFrame:
 
 def pivot_by_type(counts: DataFrame, statistic: str = "total") -> DataFrame:
     """One row per threshold, one column per QTL type, with total or median counts."""
-    value = F.sum("count") if statistic == "total" else F.median("count")
-    return counts.groupBy("threshold").pivot("type", ["eQTL", "sQTL"]).agg(value)
+    kinds = ["eQTL", "sQTL"]
+    if statistic == "total":
+        return counts.groupBy("threshold").pivot("type", kinds).agg(F.sum("count"))
+    middle = quantiles.medians(counts, ["threshold", "type"], "count")
+    return middle.groupBy("threshold").pivot("type", kinds).agg(F.max("median"))

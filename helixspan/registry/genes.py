@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from helixspan.operators import genes, reports
+from helixspan.operators import genes, quantiles, reports
 from helixspan.plans import genes as gene_plans
 from helixspan.registry.core import query
 from helixspan.registry.views import Tables
@@ -79,6 +79,14 @@ def threshold_summary(t: Tables) -> DataFrame:
     return genes.threshold_summary(_counts(t))
 
 
+@query(
+    """SELECT study_id, bio_feature, median(pval) AS median_pval FROM v_qtl GROUP BY ALL"""
+)
+def median_per_dataset(t: Tables) -> DataFrame:
+    """Median p per data set over all rows; a data set may hold most of them."""
+    return quantiles.medians(t.view("v_qtl"), ["study_id", "bio_feature"], "pval", "median_pval")
+
+
 @query(
     f"""WITH {_COUNTS} SELECT threshold,
         cast(sum(CASE WHEN type = 'eQTL' THEN "count" END) AS bigint) AS "eQTL",
