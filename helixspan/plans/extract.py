@@ -30,8 +30,12 @@ def filter_molecular(tables: Iterable[DataFrame], threshold: float = 0.005) -> D
     return as_type_id(qc.p_at_most(combine.union_all(tables), threshold))
 
 
-def write_filtered(df: DataFrame, path: str, partitions: int = 5000) -> None:
-    sinks.write_by_position(df, path, partitions)
+def write_filtered(df: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Rows in position order, in as many files as their size asks for or as told."""
+    if partitions:
+        sinks.write_by_position(df, path, partitions)
+    else:
+        sinks.write_sized(df, path)
 
 
 def significant_windows(
@@ -63,5 +67,5 @@ def union_datasets(gwas: DataFrame, molecular: Iterable[DataFrame]) -> DataFrame
     return combine.gwas_with_molecular(gwas, combine.union_all(molecular))
 
 
-def write_union(df: DataFrame, path: str, partitions: int = 2000) -> None:
-    sinks.write_by_position(df, path, partitions)
+def write_union(df: DataFrame, path: str, partitions: int | None = None) -> None:
+    write_filtered(df, path, partitions)

@@ -147,6 +147,15 @@ def parquet_whole(t: Tables) -> DataFrame:
     return rows.select("study_id", "chrom", "pos", "ref", "alt", "pval")
 
 
+@query("SELECT study_id, chrom, pos, ref, alt, pval FROM v_gwas")
+def parquet_sized(t: Tables) -> DataFrame:
+    """Written in position order, with files of about 256 KB, and read back whole."""
+    path = scratch_path(t.spark, "sized")
+    sinks.write_sized(_gwas_table(t), path, 256 << 10)
+    rows = readers.read_parquet(t.spark, path, schema.GWAS_SCHEMA)
+    return rows.select("study_id", "chrom", "pos", "ref", "alt", "pval")
+
+
 @query("SELECT study_id, chrom, pos, ref, alt, pval FROM v_gwas WHERE chrom = '3' AND pos >= 1000")
 def parquet_by_position(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "positions")

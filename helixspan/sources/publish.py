@@ -35,6 +35,10 @@ class Files:
         system, where = self.at(path)
         return system.exists(where)
 
+    def stored_bytes(self, path: str) -> int:
+        system, where = self.at(path)
+        return system.getContentSummary(where).getLength()
+
     def remove(self, path: str) -> None:
         system, where = self.at(path)
         system.delete(where, True)

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from helixspan.operators.layout import by_folder_and_position, by_position
+from helixspan.session import scratch_path, tidy
+from helixspan.sources.publish import Files
+
+#: Bytes an output file is meant to have.
+FILE_BYTES = 128 << 20
 
 
 def write_by_position(
@@ -16,6 +21,30 @@ def write_by_position(
     by_position(df, partitions, chrom).write.parquet(path, mode="overwrite", compression="snappy")
 
 
+def files_for(n_bytes: int, file_bytes: int = FILE_BYTES) -> int:
+    """Number of files of the wanted size, at least 1."""
+    return max(1, -(-n_bytes // file_bytes))
+
+
+def write_sized(
+    df: DataFrame, path: str, file_bytes: int = FILE_BYTES, chrom: str = "chrom"
+) -> int:
+    """``write_by_position`` with as many files as the rows fill; returns their number.
+
+    The rows are written down first. Their stored size sets the number of files, and the
+    bounds of the ranges are sampled from the copy, so what made the rows runs once: for a
+    filter over a large table, a second scan of that table would cost far more than the copy
+    of what it keeps. The copy also lets an output replace a table that it was made from.
+    """
+    spark = df.sparkSession
+    with tidy(spark):
+        staged = scratch_path(spark, "unsized")
+        df.write.parquet(staged)
+        n_files = files_for(Files(spark).stored_bytes(staged), file_bytes)
+        write_by_position(spark.read.schema(df.schema).parquet(staged), path, n_files, chrom)
+    return n_files
+
+
 def write_by_folder(
     df: DataFrame,
     path: str,
