@@ -13,6 +13,7 @@ from helixspan.registry.filters import _MERGED, _NEAR, P_WINDOW, WIDTH, _gwas_ta
 from helixspan.registry.views import Tables
 from helixspan.session import scratch_path
 from helixspan.sources import publish, readers, sinks
+from helixspan.streaming import arrivals
 
 _HARMONISED = {new: old for old, (new, _) in readers.HARMONISED_GWAS.items()}
 _GWAS_COLUMNS = ["chrom", "pos", "ref", "alt", "pval", "beta", "se", "oddsr", "oddsr_lower", "eaf"]
@@ -391,14 +392,15 @@ def ingest_report(t: Tables) -> DataFrame:
     return others.unionByName(tiny).select("study_id", "step_no", "n_rows", "removed")
 
 
-@query(
-    """SELECT study_id, chrom, pos, ref, alt, beta, se, pval, n_total, eaf, is_cc FROM (
+_INGESTED = """SELECT study_id, chrom, pos, ref, alt, beta, se, pval, n_total, eaf, is_cc FROM (
         SELECT study_id, chrom, pos, ref, alt, beta, se, pval, eaf,
             cast(2000 AS int) AS n_total, study_id = 'GCSTA' AS is_cc,
             4000 * CASE WHEN eaf <= 0.5e0 THEN eaf ELSE 1e0-eaf END AS mac FROM v_gwas
         WHERE se IS NOT NULL AND eaf IS NOT NULL) t
     WHERE mac >= 10"""
-)
+
+
+@query(_INGESTED)
 def ingest_job(t: Tables) -> DataFrame:
     """Manifest to finished Parquet: a folder, a glob and an odd file name per study."""
     root = scratch_path(t.spark, "ingest")
@@ -427,3 +429,30 @@ def ingest_job(t: Tables) -> DataFrame:
     return rows.select(
         "study_id", "chrom", "pos", "ref", "alt", "beta", "se", "pval", "n_total", "eaf", "is_cc"
     )
+
+
+@query(_INGESTED)
+def stream_ingest(t: Tables) -> DataFrame:
+    """Two manifests that arrive one after the other, with a run after each and one without news."""
+    root = scratch_path(t.spark, "arrivals")
+    delivered = t.view("v_gwas").withColumnsRenamed(
+        {"chrom": "#chrom", "se": "sebeta", "eaf": "af_alt"}
+    )
+    columns = ["study_id", "#chrom", "pos", "ref", "alt", "pval", "beta", "sebeta", "af_alt"]
+    sinks.write_export(delivered.select(*[f"`{c}`" for c in columns]), f"{root}/in", "study_id")
+    lines = t.view("v_gwas").select("study_id").distinct().select(
+        F.concat(ids.clean_path(F.lit(root)), F.lit("/in/study_id="), "study_id").alias("in_tsv"),
+        "study_id",
+        F.lit(2000).alias("n_total"),
+        F.when(F.col("study_id") == "GCSTA", F.lit(2000)).alias("n_cases"),
+    )
+    for arrived in (F.col("study_id") == "GCSTA", F.col("study_id") != "GCSTA", None):
+        if arrived is not None:
+            lines.where(arrived).write.json(f"{root}/manifests", mode="append")
+        arrivals.ingest_arrived(
+            t.spark, f"{root}/manifests", None, f"{root}/out", f"{root}/state",
+            readers.FINNISH_GWAS, min_rows=1,
+        )
+    return readers.read_parquet(t.spark, f"{root}/out", schema.GWAS_SCHEMA).select(
+        "study_id", "chrom", "pos", "ref", "alt", "beta", "se", "pval", "n_total", "eaf", "is_cc"
+    )
