@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from helixspan import schema
 from helixspan.functions import ids
-from helixspan.operators import combine, harmonise, layout, qc, qtl, windows
+from helixspan.operators import combine, harmonise, layout, qc, qtl, window_updates, windows
 from helixspan.plans import extract, gwas
 from helixspan.registry.core import query
 from helixspan.registry.views import Tables
@@ -72,6 +72,17 @@ def window_extract_join(t: Tables) -> DataFrame:
     return kept.select(_COLUMNS)
 
 
+@query(f"SELECT {', '.join(_COLUMNS)} {_NEAR}")
+def window_update(t: Tables) -> DataFrame:
+    """Windows of one delivery, brought up to date with a second one that has all other rows."""
+    rows = t.view("v_gwas")
+    second = F.pmod(F.xxhash64("study_id", "chrom", "pos", "ref", "alt"), F.lit(4)) == 0
+    earlier, new = rows.where(~F.coalesce(second, F.lit(False))), rows.where(second)
+    kept, intervals = windows.extract_windows(earlier, WIDTH, "gwas", P_WINDOW)
+    found, _ = window_updates.update_windows(new, earlier, kept, intervals, WIDTH, P_WINDOW)
+    return found.select(_COLUMNS)
+
+
 @query(f"SELECT {', '.join(_COLUMNS)} {_NEAR}")
 def window_extract_range(t: Tables) -> DataFrame:
     hit = windows.significant("gwas", P_WINDOW)

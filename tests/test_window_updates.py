@@ -1,0 +1,83 @@
+"""Windows brought up to date against windows cut anew."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from helixspan.operators import window_updates, windows
+
+SCHEMA = "study_id string, phenotype_id string, bio_feature string, chrom string, pos int, pval double"
+WIDTH = 12
+
+
+def some_rows(seed, n):
+    rng = random.Random(seed)
+    return [
+        (rng.choice("ab"), None, rng.choice([None, "t"]), rng.choice("12"), rng.randrange(1, 400),
+         rng.choice([1e-9] + [0.5] * 25))
+        for _ in range(n)
+    ]
+
+
+def as_set(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_two_deliveries_give_the_full_result(table, seed):
+    earlier, new = table(some_rows(seed, 400), SCHEMA), table(some_rows(seed + 50, 60 * seed), SCHEMA)
+    kept, intervals = windows.extract_windows(earlier, WIDTH)
+    found, updated = window_updates.update_windows(new, earlier, kept, intervals, WIDTH)
+    want, merged = windows.extract_windows(earlier.unionByName(new), WIDTH)
+    assert as_set(updated.select(merged.columns)) == as_set(merged)
+    assert as_set(found) == as_set(want)
+
+
+def covered(rows):
+    return {(s, c, p) for s, _, _, c, start, end in rows for p in range(start, end + 1)}
+
+
+def test_added_ranges_are_what_is_covered_beyond_the_stored(table):
+    ddl = "study_id string, phenotype_id string, bio_feature string, chrom string, start int, end int"
+    rng = random.Random(3)
+
+    def disjoint():
+        rows, at = [], 0
+        for _ in range(12):
+            at += rng.randrange(1, 40)
+            rows.append(("s", None, None, "1", at, at + rng.randrange(0, 30)))
+            at = rows[-1][-1] + 1
+        return rows
+
+    for _ in range(3):
+        old, fresh = disjoint(), disjoint()
+        updated, added = window_updates.update_intervals(table(old, ddl), table(fresh, ddl))
+        ranges = [tuple(r) for r in added.collect()]
+        assert covered(ranges) == covered(fresh) - covered(old)
+        assert len(covered(ranges)) == sum(r[-1] - r[-2] + 1 for r in ranges)  # no position twice
+        assert covered(map(tuple, updated.collect())) == covered(old) | covered(fresh)
+
+
+def test_only_changed_ranges_are_read(spark, table, tmp_path):
+    rows = [("a", None, None, str(c), p, 0.5) for c in range(1, 5) for p in range(1, 300)]
+    path = str(tmp_path / "earlier")
+    table(rows, SCHEMA).write.partitionBy("chrom").parquet(path)
+    earlier = spark.read.schema(SCHEMA).parquet(path)
+    kept, intervals = windows.extract_windows(earlier, WIDTH)
+    new = table([("a", None, None, "3", 100, 1e-9)], SCHEMA)
+    found, _ = window_updates.update_windows(new, earlier, kept, intervals, WIDTH)
+    assert found.count() == 26
+    ranges = table([("3", 88, 112)], "chrom string, start long, end long")
+    read = window_updates.reading_only(earlier, ranges)
+    files = {re.search("chrom=([0-9])", r[0])[1] for r in read.select(F.input_file_name()).collect()}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert files == {"3"} and "GreaterThanOrEqual(pos,88)" in plan and "LessThanOrEqual(pos,112)" in plan
+
+
+def test_nothing_new_reads_nothing(table):
+    earlier = table(some_rows(1, 200), SCHEMA)
+    kept, intervals = windows.extract_windows(earlier, WIDTH)
+    found, updated = window_updates.update_windows(table([], SCHEMA), earlier, kept, intervals, WIDTH)
+    assert as_set(found) == as_set(kept) and as_set(updated.select(intervals.columns)) == as_set(intervals)
