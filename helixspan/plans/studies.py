@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from helixspan.functions import ids, text
@@ -128,6 +130,14 @@ def eqtl_manifest(
     return _unfinished(lines, completed)
 
 
+def tissues_of_files(paths: DataFrame, suffix: str) -> DataFrame:
+    """Tissues (``qtl_group``) that have files named tissue + ``suffix``, a pattern with stars."""
+    name = ids.base_name(F.col("path"))
+    fixed = [re.escape(part) for part in suffix.split("*")]
+    tissue = F.regexp_extract(name, f"^(.+?){'.*'.join(fixed)}$", 1)
+    return paths.select(tissue.alias("qtl_group")).where("qtl_group <> ''").distinct()
+
+
 def sqtl_manifest(
     tissues: DataFrame, study_id: str, in_root: str, suffix: str,
     in_panel: str, out_root: str, log_root: str,

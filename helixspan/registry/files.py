@@ -49,6 +49,18 @@ def tsv_confident(t: Tables) -> DataFrame:
     return rows.select(_GWAS_COLUMNS[:7])
 
 
+@query(
+    """SELECT chrom, pos, ref, alt, pval, beta, se, oddsr, oddsr_lower, eaf,
+        cast(NULL AS double) AS info FROM v_gwas"""
+)
+def tsv_biobank(t: Tables) -> DataFrame:
+    """The same rows under the column names of a biobank delivery."""
+    path = scratch_path(t.spark, "biobank")
+    names = {new: old for old, (new, _) in readers.BIOBANK_GWAS.items()}
+    sinks.write_export(t.view("v_gwas").select(*_GWAS_COLUMNS).withColumnsRenamed(names), path)
+    return readers.read_mapped_tsv(t.spark, path, readers.BIOBANK_GWAS)
+
+
 def _two_headers(t: Tables) -> str:
     """Two deliveries in one folder whose column sets and orders differ."""
     path = scratch_path(t.spark, "headers")

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from helixspan.functions import ids
 from helixspan.functions.text import ANCESTRIES, SHADOWED_BY
 from helixspan.operators import combine, qc, studies
+from helixspan.plans import jobs
 from helixspan.plans import studies as plans
 from helixspan.registry.core import query
 from helixspan.registry.views import Tables
+from helixspan.session import scratch_path
 
 
 def _sum_sql(condition: str) -> str:
@@ -308,6 +310,31 @@ def manifest_sqtl(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT DISTINCT 'sQTL' AS study_id, replace(c_mktsegment, ' ', '_') AS qtl_group,
+        concat('/in/', replace(c_mktsegment, ' ', '_'), '.v1.chr*.parquet') AS in_nominal,
+        '/panel' AS in_varindex, '/out/sQTL.parquet' AS out_parquet,
+        concat('/log/sQTL_', replace(c_mktsegment, ' ', '_'), '.txt') AS out_log FROM customer"""
+)
+def manifest_sqtl_job(t: Tables) -> DataFrame:
+    """From a list of paths to JSON lines; files of other kinds are in the list as well."""
+    root = scratch_path(t.spark, "sqtl-manifest")
+    tissue = F.replace("c_mktsegment", F.lit(" "), F.lit("_"))
+    chrom = (F.col("c_custkey") % 22 + 1).cast("string")
+    names = t.base("customer").select(
+        F.explode(F.array(
+            F.concat(F.lit("/in/"), tissue, F.lit(".v1.chr"), chrom, F.lit(".parquet")),
+            F.concat(F.lit("/in/"), tissue, F.lit("_other.v1.genes.txt")),
+        ))
+    )
+    names.write.text(f"{root}/paths")
+    jobs.sqtl_manifest(
+        t.spark, f"{root}/paths", f"{root}/out", "sQTL", "/in/", ".v1.chr*.parquet", "/panel", "/out/", "/log/"
+    )
+    fields = "study_id string, qtl_group string, in_nominal string, in_varindex string, out_parquet string, out_log string"
+    return t.spark.read.schema(fields).json(f"{root}/out")
+
+
 @query(
     """SELECT concat('/x/gwas/', study_id, '.parquet') AS in_path, 'gwas' AS data_type,
         concat(study_id, '.parquet') AS study FROM v_study

@@ -76,6 +76,34 @@ def test_only_changed_ranges_are_read(spark, table, tmp_path):
     assert files == {"3"} and "GreaterThanOrEqual(pos,88)" in plan and "LessThanOrEqual(pos,112)" in plan
 
 
+def test_job_from_paths_to_paths(spark, tmp_path):
+    from helixspan.plans import jobs
+    from helixspan.schema import GWAS_SCHEMA
+
+    def written(name, seed, n):
+        rng, some = random.Random(seed), {"string": "x", "integer": 1, "double": 0.5, "boolean": False}
+        empty = {f.name: None if f.nullable else some[f.dataType.typeName()] for f in GWAS_SCHEMA}
+        rows = [
+            empty | {"study_id": rng.choice("ab"), "chrom": rng.choice("12"), "pos": rng.randrange(1, 400),
+                     "pval": rng.choice([1e-9] + [0.5] * 25)}
+            for _ in range(n)
+        ]
+        spark.createDataFrame(rows, GWAS_SCHEMA).write.parquet(str(tmp_path / name))
+
+    def at(name):
+        return str(tmp_path / name)
+
+    written("earlier", 1, 300)
+    written("new", 2, 60)
+    spark.read.parquet(at("earlier"), at("new")).write.parquet(at("both"))
+    jobs.significant_windows(spark, at("earlier"), at("w1"), at("i1"), "gwas", WIDTH)
+    jobs.update_windows(spark, at("new"), at("earlier"), at("w1"), at("i1"), at("w2"), at("i2"), WIDTH)
+    jobs.significant_windows(spark, at("both"), at("want"), at("iwant"), "gwas", WIDTH)
+    places = ["study_id", "chrom", "pos", "pval"]
+    assert as_set(spark.read.parquet(at("w2")).select(places)) == as_set(spark.read.parquet(at("want")).select(places))
+    assert as_set(spark.read.text(at("i2"))) == as_set(spark.read.text(at("iwant")))
+
+
 def test_nothing_new_reads_nothing(table):
     earlier = table(some_rows(1, 200), SCHEMA)
     kept, intervals = windows.extract_windows(earlier, WIDTH)
