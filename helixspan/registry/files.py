@@ -66,10 +66,8 @@ def _two_headers(t: Tables) -> str:
     path = scratch_path(t.spark, "headers")
     first = _harmonised(t)
     second = _harmonised(t, "oddsr", "oddsr_lower").where("hm_pos%2=0")
-    sinks.write_export(first.coalesce(2), f"{path}/a")
-    sinks.write_result_table(
-        second.select(*reversed(second.columns)).coalesce(1), f"{path}/b", sep="\t"
-    )
+    sinks.write_export(first, f"{path}/a")
+    sinks.write_result_table(second.select(*reversed(second.columns)), f"{path}/b", sep="\t")
     return path
 
 
