@@ -90,14 +90,19 @@ def tsv_by_header(t: Tables) -> DataFrame:
         UNION ALL SELECT 'pos' FROM v_gwas GROUP BY chrom) c GROUP BY column_name"""
 )
 def header_groups(t: Tables) -> DataFrame:
-    """One file per chromosome, each with a header of its own, audited by column."""
+    """One delivery per chromosome, each with a header of its own, audited by column.
+
+    A delivery is a folder with as many files as tasks wrote it; all its files have the header.
+    """
     path = scratch_path(t.spark, "audit")
     chroms = [r["chrom"] for r in t.view("v_gwas").select("chrom").distinct().collect()]
     for chrom in chroms:
         rows = t.view("v_gwas").where(F.col("chrom") == chrom)
         named = rows.select(F.col("chrom").alias(f"chrom{chrom}"), "pos")
-        sinks.write_result_table(named.coalesce(1), f"{path}/{chrom}", sep="\t")
-    groups = readers.header_groups(readers.header_lines(t.spark, f"{path}/*"))
+        sinks.write_result_table(named, f"{path}/{chrom}", sep="\t")
+    headers = readers.header_lines(t.spark, f"{path}/*")
+    delivery = ids.parent_folder(F.col("file_path")).alias("file_path")
+    groups = readers.header_groups(headers.select(delivery, "header").distinct())
     names = groups.select(F.explode(F.split("header", "\t")).alias("column_name"), "n_files")
     return names.groupBy("column_name").agg(F.sum("n_files").alias("n_files"))
 
