@@ -12,18 +12,30 @@ from helixspan.sources.publish import Files
 
 #: Bytes an output file is meant to have.
 FILE_BYTES = 128 << 20
+#: Rows that a task sorts at most for a file, where a number of files is asked for.
+FILE_ROWS = 2_000_000
 
 
 def write_by_position(
     df: DataFrame, path: str, partitions: int | None = None, chrom: str = "chrom"
 ) -> None:
-    """Parquet ordered by (chrom, pos), so row-group statistics prune position ranges."""
-    by_position(df, partitions, chrom).write.parquet(path, mode="overwrite", compression="snappy")
+    """Parquet ordered by (chrom, pos), so row-group statistics prune position ranges.
+
+    ``partitions`` is the number of files that are asked for; tables of more than
+    ``FILE_ROWS`` rows a file get more, as every file is sorted in one task.
+    """
+    if partitions:
+        partitions = max(partitions, files_for(df.count(), FILE_ROWS))
+    _write_ranges(by_position(df, partitions, chrom), path)
+
+
+def _write_ranges(ranges: DataFrame, path: str) -> None:
+    ranges.write.parquet(path, mode="overwrite", compression="snappy")
 
 
-def files_for(n_bytes: int, file_bytes: int = FILE_BYTES) -> int:
-    """Number of files of the wanted size, at least 1."""
-    return max(1, -(-n_bytes // file_bytes))
+def files_for(size: int, file_size: int = FILE_BYTES) -> int:
+    """Number of files of the wanted size, in bytes or rows, at least 1."""
+    return max(1, -(-size // file_size))
 
 
 def write_sized(
@@ -41,7 +53,7 @@ def write_sized(
         staged = scratch_path(spark, "unsized")
         df.write.parquet(staged)
         n_files = files_for(Files(spark).stored_bytes(staged), file_bytes)
-        write_by_position(spark.read.schema(df.schema).parquet(staged), path, n_files, chrom)
+        _write_ranges(by_position(spark.read.schema(df.schema).parquet(staged), n_files, chrom), path)
     return n_files
 
 
