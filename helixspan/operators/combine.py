@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -66,6 +67,12 @@ def drop_repeated_ids(df: DataFrame, key: str = "study_id") -> DataFrame:
 def without_prefixes(
     df: DataFrame, column: str, prefixes: Sequence[str]
 ) -> DataFrame:
-    """Drop rows whose value starts with any of a short fixed list of prefixes."""
-    starts = reduce(lambda a, b: a | b, [F.col(column).startswith(p) for p in prefixes])
+    """Drop rows whose value starts with any of a short fixed list of prefixes.
+
+    One pattern names the column once: Spark puts the expression behind the column into the
+    filter, and would work it out again for every prefix.
+    """
+    if not prefixes:
+        return df
+    starts = F.col(column).rlike(f"^(?:{'|'.join(map(re.escape, prefixes))})")
     return df.where(~F.coalesce(starts, F.lit(False)))
