@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from helixspan.operators.keys import same_keys
 from helixspan.session import hand_over
@@ -19,6 +19,12 @@ from helixspan.session import hand_over
 KEYS = ("study_id", "phenotype_id", "bio_feature", "chrom")
 # Rows without these belong to no window.
 _REQUIRED = ("study_id", "chrom", "pos", "_tile")
+#: Rows that a task sorts into frames, about.
+ROWS_PER_TASK = 1_000_000
+
+
+def _shuffle_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def significant(data_type: str, pval: float = 5e-8) -> Column:
@@ -132,26 +138,32 @@ def keep_near_by_frame(
     Rows are first reduced to one per position, so copies and many alleles at one
     site count once; hits are lent to the neighbouring tiles, so every frame is
     complete within its tile and no group holds more than three rows per base. Both
-    frames only grow (a range frame would be rescanned for every row).
+    frames only grow (a range frame would be rescanned for every row). Rows are dealt by
+    tile before they are reduced, to as many tasks as their number asks for: positions
+    hardly repeat within a task of the scan, whose table of them would be as large as
+    what it reads.
     """
     size = max(distance, 1)
-    spots = df.groupBy(*keys, "pos").agg(F.bool_or(F.coalesce(hit, F.lit(False))).alias("_hit"))
-    tiled = spots.withColumns({"_tile": _tile("pos", size), "_own": F.lit(True)})
-    lent = tiled.where("_hit").withColumns(
-        {
-            "_tile": F.explode(F.array(F.col("_tile") - 1, F.col("_tile") + 1)),
-            "_own": F.lit(False),
-        }
+    found, home = F.coalesce(hit, F.lit(False)), _tile("pos", size)
+    lent = F.when(found, F.array(home - 1, home, home + 1)).otherwise(F.array(home))
+    n_tasks = max(_shuffle_tasks(df.sparkSession), -(-df.count() // ROWS_PER_TASK))
+    dealt = df.select(*keys, "pos", found.alias("_found"), F.explode(lent).alias("_tile"))
+    # One column, as Spark drops constant keys and would then deal the rows a second time.
+    within = ["_cell", *keys, "_tile"]
+    spots = (
+        dealt.withColumn("_cell", F.xxhash64(*keys, "_tile"))
+        .repartition(n_tasks, "_cell")
+        .groupBy(*within, "pos")
+        .agg(F.bool_or("_found").alias("_hit"))
     )
     upto = (Window.unboundedPreceding, Window.currentRow)
-    forward = Window.partitionBy(*keys, "_tile").orderBy("pos").rowsBetween(*upto)
-    backward = Window.partitionBy(*keys, "_tile").orderBy(F.desc("pos")).rowsBetween(*upto)
+    forward = Window.partitionBy(*within).orderBy("pos").rowsBetween(*upto)
+    backward = Window.partitionBy(*within).orderBy(F.desc("pos")).rowsBetween(*upto)
     hit_pos = F.when(F.col("_hit"), F.col("pos"))
     near = (
-        tiled.unionByName(lent)
-        .withColumn("_before", F.max(hit_pos).over(forward))
+        spots.withColumn("_before", F.max(hit_pos).over(forward))
         .withColumn("_after", F.min(hit_pos).over(backward))
-        .where("_own")
+        .where(F.col("_tile") == home)
         .where(
             (F.col("pos") - F.col("_before") <= distance)
             | (F.col("_after") - F.col("pos") <= distance)
