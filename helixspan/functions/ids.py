@@ -6,8 +6,12 @@ from pyspark.sql import Column, functions as F
 
 
 def whole(text: Column) -> Column:
-    """Integer in a text; decimals, as in ``12345.0``, are cut off, other texts become null."""
-    return F.regexp_replace(text, r"^\s*([+-]?[0-9]+)\.[0-9]*\s*$", "$1").try_cast("int")
+    """Integer in a text; decimals, as in ``12345.0``, are cut off, other texts become null.
+
+    Only texts that are no plain integer meet the pattern.
+    """
+    cut = F.regexp_replace(text, r"^\s*([+-]?[0-9]+)\.[0-9]*\s*$", "$1")
+    return F.coalesce(text.try_cast("int"), cut.try_cast("int"))
 
 
 def strip_chr(chrom: Column) -> Column:
